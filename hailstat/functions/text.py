@@ -53,6 +53,11 @@ def null_default(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
+def count_text(count: Column) -> Column:
+    """A count as text, ``0`` for none."""
+    return null_default(count, 0).cast("string")
+
+
 def json_object(columns: Sequence[str]) -> Column:
     """A JSON object text with one text entry per column."""
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns]))
