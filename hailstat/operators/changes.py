@@ -33,4 +33,4 @@ def keyed_changes(changes: DataFrame) -> DataFrame:
 def apply_changes(current: DataFrame | None, changes: DataFrame) -> DataFrame:
     """The stored table after the changes, newest row per key by (ts, arrival)."""
     newest = latest_per_key(keyed_changes(changes), ["row_key"], NEWEST)
-    return newest if current is None else merge_rows(current, newest, ["row_key"])
+    return newest if current is None else merge_rows(current, newest, ["row_key"], NEWEST)

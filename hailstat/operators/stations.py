@@ -10,7 +10,8 @@ from hailstat.functions import grid
 STATION_RESOLUTION = 12
 # Side of the square tiles, in degrees, by which points and districts are matched.
 TILE_DEGREES = 0.1
-# Districts are only sent to all executors below this size of their polygon texts.
+# Districts are only sent to all executors when their edges, once per tile, stay below this size.
+EDGE_BYTES = 32
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -104,7 +105,6 @@ def with_district(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREE
     row; nothing is grouped afterwards. Small district tables are broadcast, large ones joined by
     shuffle, where adaptive execution splits a crowded tile.
     """
-    edges = broadcast_if_small(edges, F.size("edges") * 32, limit)
     xs = F.flatten(F.transform("edges", lambda e: F.array(e["x1"], e["x2"])))
     ys = F.flatten(F.transform("edges", lambda e: F.array(e["y1"], e["y2"])))
     boxed = edges.select(
@@ -115,6 +115,7 @@ def with_district(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREE
     )
     tiles = boxed.withColumn("tile_x", F.explode("tiles_x")).withColumn("tile_y", F.explode("tiles_y"))
     tiles = tiles.select("tile_x", "tile_y", "district_name", "edges")
+    tiles = broadcast_if_small(tiles, F.size("edges") * EDGE_BYTES, limit)
     placed = points.withColumn("tile_x", _tile(F.col("starting_lng"), tile)).withColumn(
         "tile_y", _tile(F.col("starting_lat"), tile)
     )

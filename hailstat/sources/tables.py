@@ -71,14 +71,18 @@ def latest_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     return rows.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(newest.alias("__row")).select("__row.*")
 
 
-def merge_rows(current: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``current`` with the rows of ``changes`` put in place of those with the same key.
+def merge_rows(current: DataFrame, changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``current`` with ``changes``, the newest row per key.
 
-    ``changes`` must hold one row per key. Only keys are joined, so the large side keeps its
-    partitioning when the keys of the changes are small enough for Spark to broadcast.
+    Rows of ``current`` whose key is not changed are passed on unmoved when the changed keys are
+    small enough for Spark to broadcast; only the contested ones are compared.
     """
-    kept = current.join(changes.select(*key), list(key), "left_anti")
-    return kept.select(*changes.columns).unionByName(changes)
+    touched = changes.select(*key).distinct()
+    kept = current.join(touched, list(key), "left_anti")
+    contested = current.join(touched, list(key), "left_semi")
+    columns = changes.columns
+    newest = latest_per_key(contested.select(*columns).unionByName(changes), key, order)
+    return kept.select(*columns).unionByName(newest)
 
 
 def upsert(
