@@ -72,3 +72,8 @@ def business_key(id_: Column, time_text: Column) -> Column:
         F.replace(F.get(parts, F.lit(1)), F.lit(":"), F.lit("")),
     )
     return F.when(F.size(parts) > 1, F.concat(id_, F.lit("_"), stamp))
+
+
+def timed_key(id_: Column, time: Column) -> Column:
+    """``business_key`` of a timestamp column."""
+    return F.concat(id_, F.lit("_"), F.date_format(time, "yyyyMMddHHmmss"))

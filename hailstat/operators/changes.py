@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.functions.keys import business_key, salted_key
-from hailstat.functions.times import SECOND_FORMAT
+from hailstat.functions.keys import salted_key, timed_key
 from hailstat.sources.tables import latest_per_key, merge_rows
 
 # The change types that are applied. Deletes are left out.
@@ -26,8 +25,7 @@ def keyed_changes(changes: DataFrame) -> DataFrame:
     id_ = F.col(_id_column(changes))
     created = F.col("create_time")
     kept = changes.where(F.col("type").isin(*APPLIED) & id_.isNotNull() & created.isNotNull())
-    key = salted_key(business_key(id_, F.date_format(created, SECOND_FORMAT)))
-    return kept.withColumn("row_key", key).withColumn("create_day", F.to_date(created))
+    return kept.withColumn("row_key", salted_key(timed_key(id_, created))).withColumn("create_day", F.to_date(created))
 
 
 def apply_changes(current: DataFrame | None, changes: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hailstat.functions import grid
@@ -17,6 +17,7 @@ HOT_RADIUS = 1200
 CELLS_PER_ROW = 4096
 
 Day = str | dt.date
+Span = tuple[Day, Day]
 
 
 def with_cell(trips: DataFrame, res: int = HOT_RESOLUTION) -> DataFrame:
@@ -60,7 +61,10 @@ def hot_cells_by_window(trips: DataFrame, start: Day, end: Day, res: int = HOT_R
 
 
 def hot_delta(today: DataFrame, before: DataFrame) -> DataFrame:
-    """Change of the trips per cell; a cell that is hot only before gives a negative count."""
+    """Change of the trips per cell, from two stored tables of hot cells.
+
+    A cell that is hot only before gives a negative count.
+    """
     t, y = today.alias("t"), before.alias("y")
     joined = t.join(y, F.col("t.cell") == F.col("y.cell"), "full_outer")
     return joined.select(
@@ -71,6 +75,33 @@ def hot_delta(today: DataFrame, before: DataFrame) -> DataFrame:
     )
 
 
+def hot_pair(trips: DataFrame, now: Span, before: Span, res: int = HOT_RESOLUTION) -> DataFrame:
+    """Per cell, trips and area code of two periods, from one scan of the trips."""
+    time = F.col("create_time")
+    in_now, in_before = between(time, *now), between(time, *before)
+
+    def code(inside: Column) -> Column:
+        order = F.when(inside, F.struct("create_time", "id"))
+        return F.min_by("begin_address_code", order)
+
+    return with_cell(trips.where(in_now | in_before), res).groupBy("cell").agg(
+        code(in_now).alias("code_now"),
+        F.count_if(in_now).alias("count_now"),
+        code(in_before).alias("code_before"),
+        F.count_if(in_before).alias("count_before"),
+    )
+
+
+def hot_change(trips: DataFrame, now: Span, before: Span, res: int = HOT_RESOLUTION) -> DataFrame:
+    """``hot_delta`` of two periods of the same trips, without a join."""
+    return hot_pair(trips, now, before, res).select(
+        F.coalesce("code_now", "code_before").alias("city_code"),
+        grid.lat_lng_text(grid.cell_center(F.col("cell"))).alias("coordinate"),
+        F.lit(HOT_RADIUS).alias("radius"),
+        (F.col("count_now") - F.col("count_before")).alias("count"),
+    )
+
+
 def as_detail(cells: DataFrame) -> DataFrame:
     """Hot cells under the column names of ``hot_delta``."""
     return cells.select(F.col("begin_address_code").alias("city_code"), "coordinate", "radius", "count")
@@ -113,10 +144,37 @@ def hot_order(today: DataFrame, delta: DataFrame) -> DataFrame:
     )
 
 
-def hot_order_report(trips: DataFrame, today: tuple[Day, Day], before: tuple[Day, Day]) -> DataFrame:
-    """Hot-area trips of a period and their change against an earlier one."""
-    now, then = hot_cells(trips, *today), hot_cells(trips, *before)
-    return hot_order(area_totals(as_detail(now)), area_totals(hot_delta(now, then)))
+def hot_order_report(trips: DataFrame, now: Span, before: Span) -> DataFrame:
+    """``hot_order`` of two periods of the same trips: one scan, no join.
+
+    Each cell adds its trips to the area it is in now, and its change to the area of the change,
+    which is the earlier one for a cell that is no longer hot. Areas without trips now are left
+    out, and a missing area has no change to match.
+    """
+    counts = F.array(
+        F.struct(
+            F.col("code_now").alias("code"),
+            F.col("count_now").alias("trips"),
+            F.lit(0).cast("bigint").alias("change"),
+            (F.col("count_now") > 0).alias("is_now"),
+        ),
+        F.struct(
+            F.coalesce("code_now", "code_before").alias("code"),
+            F.lit(0).cast("bigint").alias("trips"),
+            (F.col("count_now") - F.col("count_before")).alias("change"),
+            F.lit(False).alias("is_now"),
+        ),
+    )
+    shares = hot_pair(trips, now, before).select(F.inline(counts))
+    areas = shares.groupBy("code").agg(
+        F.sum("trips").alias("trips"), F.sum("change").alias("change"), F.bool_or("is_now").alias("is_now")
+    )
+    return areas.where("is_now").select(
+        F.col("code").alias("rk"),
+        F.col("code").alias("_city_code"),
+        F.col("trips").cast("string").alias("_day_order_num"),
+        F.when(F.col("code").isNotNull(), F.col("change").cast("string")).alias("_new_orders_num"),
+    )
 
 
 def heat_map(trips: DataFrame, day: Day, res: int = HOT_RESOLUTION) -> DataFrame:

@@ -80,8 +80,22 @@ def span_of(state: DataFrame) -> DataFrame:
 
 
 def order_span(gps: DataFrame) -> DataFrame:
-    """First and last time and position per order; of points at the same time the first arrival."""
-    return span_of(order_state(gps))
+    """First and last time and position per order; of points at the same time the first arrival.
+
+    Folding to one point per (order, second) first leaves only numbers in both aggregates, so they
+    hash instead of sorting, and a very long order is spread over its seconds.
+    """
+    per_second = _points(gps).groupBy("order_id", "ts").agg(
+        F.min_by("lng", "seq").alias("lng"), F.min_by("lat", "seq").alias("lat")
+    )
+    return per_second.groupBy(F.col("order_id").alias("orderId")).agg(
+        (F.min("ts") * 1000).alias("startTime"),
+        (F.max("ts") * 1000).alias("endTime"),
+        F.min_by("lat", "ts").alias("getOnLat"),
+        F.min_by("lng", "ts").alias("getOnLng"),
+        F.max_by("lat", "ts").alias("getOfLat"),
+        F.max_by("lng", "ts").alias("getOfLng"),
+    ).select(F.lit(GPS_CITY).alias("cityCode"), "*")
 
 
 def live_of(state: DataFrame) -> DataFrame:
@@ -123,8 +137,9 @@ def overview(counts: DataFrame, stored: DataFrame) -> DataFrame:
 
 def latest_point(gps: DataFrame) -> DataFrame:
     """Current position of each order: its last arriving point."""
-    last = _points(gps).groupBy("order_id").agg(F.max_by(F.struct("lng", "lat"), "seq").alias("p"))
-    return last.select("order_id", "p.lng", "p.lat")
+    return _points(gps).groupBy("order_id").agg(
+        F.max_by("lng", "seq").alias("lng"), F.max_by("lat", "seq").alias("lat")
+    )
 
 
 def track_feed(gps: DataFrame) -> DataFrame:

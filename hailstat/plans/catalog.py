@@ -168,7 +168,7 @@ def _src_stream_topics(spark, sf_dir):
 def _sink_upsert(spark, sf_dir):
     """Trip changes written in two halves; the second replaces rows of the first."""
     folder = shared_folder(spark, "upsert")
-    rows = changes.keyed_changes(lines.parse_changes(sample.change_lines(spark, sf_dir), lines.ORDER_TABLE))
+    rows = changes.keyed_changes(_order_changes(spark, sf_dir))
     for half in (rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")):
         tables.upsert(spark, half, folder, ["row_key"], changes.NEWEST, "create_day")
     stored = spark.read.schema(rows.schema).parquet(folder)
@@ -484,7 +484,8 @@ def _hot(spark, sf_dir, bounds):
 
 query("h_hot_day")(lambda s, d: _hot(s, d, HOT_NOW))
 query("h_hot_prev_day")(lambda s, d: _hot(s, d, HOT_BEFORE))
-query("h_hot_delta")(lambda s, d: hotareas.hot_delta(_hot(s, d, HOT_NOW), _hot(s, d, HOT_BEFORE)))
+query("h_hot_delta")(lambda s, d: hotareas.hot_change(sample.trips(s, d, *HOT_INPUT), HOT_NOW, HOT_BEFORE))
+query("h_hot_delta_stored")(lambda s, d: hotareas.hot_delta(_hot(s, d, HOT_NOW), _hot(s, d, HOT_BEFORE)))
 
 
 @query("h_hot_detail")
@@ -560,7 +561,8 @@ def _v_geojson_districts(spark, sf_dir):
 
 
 def _order_changes(spark, sf_dir):
-    return lines.parse_changes(sample.change_lines(spark, sf_dir), lines.ORDER_TABLE)
+    trip_lines = sample.as_change_lines(sample.table(spark, sf_dir, "events"))
+    return lines.parse_changes(trip_lines, lines.ORDER_TABLE)
 
 
 def _change_columns(df):

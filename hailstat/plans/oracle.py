@@ -538,6 +538,7 @@ _HOT_DELTA = f"""SELECT coalesce(t.begin_address_code, y.begin_address_code) AS
 ORACLE["h_hot_day"] = _with(_HOT_NOW, "trips")
 ORACLE["h_hot_prev_day"] = _with(_HOT_BEFORE, "trips")
 ORACLE["h_hot_delta"] = _with(_HOT_DELTA, "trips")
+ORACLE["h_hot_delta_stored"] = ORACLE["h_hot_delta"]
 ORACLE["h_hot_detail"] = _with(
     f"""SELECT begin_address_code AS city_code, (sum(count) OVER (PARTITION BY begin_address_code))::BIGINT AS city_num,
                (row_number() OVER (PARTITION BY begin_address_code ORDER BY coordinate, radius, count) - 1)::INTEGER
@@ -733,7 +734,7 @@ def _kind(kind: str) -> str:
 
 
 def _percent(part: str, *parts: str) -> str:
-    return f"CASE WHEN {part} = 0 THEN 0.0::DOUBLE ELSE round({part} * 100 / ({' + '.join(parts)}), 2) END"
+    return f"CASE WHEN {part} = 0 THEN 0.0::DOUBLE ELSE round({part} * 100 / nullif({' + '.join(parts)}, 0), 2) END"
 
 
 _STAGES = ("failed", "running", "waiting")

@@ -56,15 +56,16 @@ def route_of(table: Column) -> Column:
     )
 
 
-def change_envelope(lines: DataFrame) -> DataFrame:
-    """Envelope fields next to the line; a missing table is blank, a missing type is an insert."""
-    head = F.from_json("value", "table string, type string, ts bigint")
-    return lines.select(
-        "*",
-        F.coalesce(head["table"], F.lit("")).alias("table"),
-        F.coalesce(head["type"], F.lit("insert")).alias("type"),
-        head["ts"].alias("ts"),
-    ).withColumn("route", route_of(F.col("table")))
+def _envelope(lines: DataFrame, data_fields: str = "") -> DataFrame:
+    """The parsed line in a column ``e``, and its ``route``; one parse serves all fields."""
+    schema = "table string, type string, ts bigint" + (f", data struct<{data_fields}>" if data_fields else "")
+    parsed = lines.withColumn("e", F.from_json("value", schema))
+    return parsed.withColumn("route", route_of(F.coalesce("e.table", F.lit(""))))
+
+
+def _type() -> Column:
+    """The change type; a missing one is an insert."""
+    return F.coalesce("e.type", F.lit("insert")).alias("type")
 
 
 def parse_changes(lines: DataFrame, route: str) -> DataFrame:
@@ -74,17 +75,20 @@ def parse_changes(lines: DataFrame, route: str) -> DataFrame:
     """
     types = column_types(CHANGE_FIELDS[route])
     sent = {c: ("id_" if c == "id" else c) for c in types}
-    data = F.from_json("value", "data struct<" + ", ".join(f"{s}: string" for s in sent.values()) + ">")["data"]
-    rows = change_envelope(lines).where(F.col("route") == route).withColumn("data", data)
+    rows = _envelope(lines, ", ".join(f"{s}: string" for s in sent.values())).where(F.col("route") == route)
     carried = ["seq"] if "seq" in lines.columns else []
     return rows.select(
-        *carried, "table", "type", "ts", *[to_type(F.col("data")[sent[c]], t).alias(c) for c, t in types.items()]
+        *carried,
+        "e.table",
+        _type(),
+        "e.ts",
+        *[to_type(F.col("e.data")[sent[c]], t).alias(c) for c, t in types.items()],
     )
 
 
 def rejected_changes(lines: DataFrame) -> DataFrame:
     """Lines of no known table, as they came."""
-    return change_envelope(lines).where(F.col("route").isNull()).select(*lines.columns)
+    return _envelope(lines).where(F.col("route").isNull()).select(*lines.columns)
 
 
 def parse_change_log(lines: DataFrame) -> dict[str, DataFrame]:
@@ -95,8 +99,8 @@ def parse_change_log(lines: DataFrame) -> dict[str, DataFrame]:
 def route_counts(lines: DataFrame) -> DataFrame:
     """Lines per route and change type; rejects under ``#A``."""
     return (
-        change_envelope(lines)
-        .groupBy(F.coalesce("route", F.lit("#A")).alias("route"), "type")
+        _envelope(lines)
+        .groupBy(F.coalesce("route", F.lit("#A")).alias("route"), _type())
         .agg(F.count("*").alias("num_lines"))
     )
 

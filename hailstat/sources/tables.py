@@ -105,12 +105,18 @@ def upsert(
         touched = newest.select(partition).distinct()
         in_touched = current.join(touched, partition, "left_semi")
         newest = latest_per_key(in_touched.unionByName(newest), key, order)
-    (
-        newest.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    write_partitioned(newest, path, partition, "dynamic")
+
+
+def write_partitioned(df: DataFrame, path: str, partition: str, overwrite: str) -> None:
+    """Replace all partitions (``static``) or only those of ``df`` (``dynamic``).
+
+    Rows are rebalanced by the partition column first: one or a few files per partition in place of
+    one per task, and a very large partition is split over several tasks.
+    """
+    balanced = df.hint("rebalance", F.col(partition))
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer.partitionBy(partition).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def save_stations(stations: DataFrame, path: str) -> None:
     """Stations with their trip count and district, one per order id, partitioned by city."""
     columns = ["order_id", "city_id", "starting_lng", "starting_lat", "trip_count", "district_name"]
     one = latest_per_key(stations.select(*columns), ["order_id"], ["district_name"])
-    one.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("city_id").parquet(path)
+    write_partitioned(one, path, "city_id", "static")
 
 
 def filter_and_save(table: DataFrame, condition: Column, path: str, row_key: str) -> None:
