@@ -30,23 +30,20 @@ def edge_length(res: int) -> float:
 
 
 def cell_of(lat: Column, lng: Column, res: int) -> Column:
-    """The cell that holds a point; null for a null coordinate."""
+    """The cell that holds a point; null for a null coordinate.
+
+    Three families of parallel lines through the corners cut the plane into triangles. The line
+    numbers ``u``, ``v`` and ``w`` of a point name its triangle and, divided by three, the hexagon
+    that the triangle is a part of. It is the nearest centre, as rounding of cube coordinates finds
+    it, but short and without branches, so that it stays cheap inside generated code.
+    """
     edge = edge_length(res)
-    x = (lng - ORIGIN_LNG) * LNG_METRES
-    y = (lat - ORIGIN_LAT) * METRES_PER_DEGREE
-    q = (math.sqrt(3.0) / 3.0 * x - y / 3.0) / edge
-    r = (2.0 / 3.0 * y) / edge
-    near_q, near_r, near_s = (F.floor(v + 0.5) for v in (q, r, -q - r))
-    off_q, off_r, off_s = F.abs(near_q - q), F.abs(near_r - r), F.abs(near_s - (-q - r))
-    cell_q = F.when((off_q > off_r) & (off_q > off_s), -near_r - near_s).otherwise(near_q)
-    cell_r = F.when((off_q > off_r) & (off_q > off_s), near_r).otherwise(
-        F.when(off_r > off_s, -near_q - near_s).otherwise(near_r)
-    )
-    return (
-        F.lit(res * 2 ** (2 * COORDINATE_BITS)).cast("bigint")
-        + (cell_q + OFFSET) * 2**COORDINATE_BITS
-        + (cell_r + OFFSET)
-    )
+    x = (lng - ORIGIN_LNG) * (LNG_METRES / math.sqrt(3.0) / edge)
+    y = (lat - ORIGIN_LAT) * (METRES_PER_DEGREE / edge)
+    u, v, w = F.floor(x * 2.0), F.floor(x - y), F.floor(x + y)
+    q, r = F.floor((u + v + 2) / 3.0), F.floor((w - v + 1) / 3.0)
+    high = F.lit((res * 2**COORDINATE_BITS + OFFSET) * 2**COORDINATE_BITS + OFFSET).cast("bigint")
+    return high + q * 2**COORDINATE_BITS + r
 
 
 def _resolution(cell: Column) -> Column:
