@@ -11,6 +11,7 @@ REGION_DIGITS = 4
 DIGEST_DIGITS = 12
 MIN_MD5_PREFIX = 8
 MAX_MD5_PREFIX = 32
+WORD = 2**32 - 1
 
 
 def string_hash(text: Column) -> Column:
@@ -23,11 +24,10 @@ def string_hash(text: Column) -> Column:
         point = F.ascii(char).cast("bigint")
         high = F.lit(0xD800) + F.shiftright(point - 0x10000, 10)
         low = F.lit(0xDC00) + (point - 0x10000) % 1024
-        pair = ((acc * 31 + high) % 2**32) * 31 + low
-        return F.when(point < 0x10000, acc * 31 + point).otherwise(pair) % 2**32
+        pair = (acc * 31 + high).bitwiseAND(F.lit(WORD)) * 31 + low
+        return F.when(point < 0x10000, acc * 31 + point).otherwise(pair).bitwiseAND(F.lit(WORD))
 
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    return F.aggregate(chars, F.lit(0).cast("bigint"), step)
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), step)
 
 
 def region(text: Column, regions: int = REGIONS) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The parts of a task-end line of Spark's event log that are kept.
+# The mark of a task-end line of Spark's event log, and the parts that are kept.
+TASK_END_MARK = r'"Event"\s*:\s*"SparkListenerTaskEnd"'
 TASK_END = (
-    "Event string, "
     "`Task Info` struct<`Task ID`: bigint, Host: string, Speculative: boolean, Failed: boolean, "
     "Killed: boolean, `Finish Time`: bigint>, "
     "`Task Metrics` struct<`Executor CPU Time`: bigint, `JVM GC Time`: bigint, "
@@ -56,7 +56,8 @@ DELAYED_INTERVALS = 6
 
 def task_metrics(log_lines: DataFrame) -> DataFrame:
     """One row per finished task from the lines (``value``) of an event log."""
-    lines = log_lines.select(F.from_json("value", TASK_END).alias("line"))
+    ended = log_lines.where(F.col("value").rlike(TASK_END_MARK))
+    lines = ended.select(F.from_json("value", TASK_END).alias("line"))
 
     def field(path: tuple[str, ...]) -> Column:
         column = F.col("line")
@@ -64,8 +65,7 @@ def task_metrics(log_lines: DataFrame) -> DataFrame:
             column = column.getField(name)
         return column
 
-    ended = lines.where(F.col("line.Event") == "SparkListenerTaskEnd")
-    return ended.select(*[field(path).alias(name) for name, path in TASK_COLUMNS.items()])
+    return lines.select(*[field(path).alias(name) for name, path in TASK_COLUMNS.items()])
 
 
 def last_task(tasks: DataFrame) -> DataFrame:

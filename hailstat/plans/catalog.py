@@ -571,9 +571,17 @@ def _change_columns(df):
 
 @query("c_cdc_apply")
 def _c_cdc_apply(spark, sf_dir):
-    """Inserts applied to nothing, then all changes to the result."""
+    return _change_columns(changes.apply_changes(None, _order_changes(spark, sf_dir)))
+
+
+@query("c_cdc_merge")
+def _c_cdc_merge(spark, sf_dir):
+    """Inserts stored as a table, then all changes merged into it."""
+    folder = shared_folder(spark, "stored")
     rows = _order_changes(spark, sf_dir)
-    current = changes.apply_changes(None, rows.where("type = 'insert'"))
+    stored = changes.apply_changes(None, rows.where("type = 'insert'"))
+    stored.write.parquet(folder)
+    current = spark.read.schema(stored.schema).parquet(folder)
     return _change_columns(changes.apply_changes(current, rows))
 
 

@@ -628,6 +628,7 @@ ORACLE["v_district_parse"] = _with(
 # --- change log and GPS ----------------------------------------------------------------------
 
 ORACLE["c_cdc_apply"] = _NEWEST_CHANGES
+ORACLE["c_cdc_merge"] = _NEWEST_CHANGES
 ORACLE["c_cdc_stream"] = _NEWEST_CHANGES
 
 _STORE = """SELECT order_id || '_' || ts AS rowkey, '075' AS city_code, driver_id, order_id, ts AS "timestamp",

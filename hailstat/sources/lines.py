@@ -56,11 +56,23 @@ def route_of(table: Column) -> Column:
     )
 
 
-def _envelope(lines: DataFrame, data_fields: str = "") -> DataFrame:
-    """The parsed line in a column ``e``, and its ``route``; one parse serves all fields."""
+def _where_valid(rows: DataFrame, valid: Column, *columns: Column) -> DataFrame:
+    """Each row as zero or one row of ``columns``, with ``seq`` carried along if there is one.
+
+    A filter on parsed columns would be moved below the parse and repeat it; a generator is not.
+    """
+    carried = ["seq"] if "seq" in rows.columns else []
+    return rows.select(*carried, F.inline(F.when(valid, F.array(F.struct(*columns)))))
+
+
+def _parsed(lines: DataFrame, data_fields: str = "") -> DataFrame:
+    """The parsed line in a column ``e``; one parse serves all fields."""
     schema = "table string, type string, ts bigint" + (f", data struct<{data_fields}>" if data_fields else "")
-    parsed = lines.withColumn("e", F.from_json("value", schema))
-    return parsed.withColumn("route", route_of(F.coalesce("e.table", F.lit(""))))
+    return lines.withColumn("e", F.from_json("value", schema))
+
+
+def _route() -> Column:
+    return route_of(F.coalesce("e.table", F.lit("")))
 
 
 def _type() -> Column:
@@ -68,6 +80,11 @@ def _type() -> Column:
     return F.coalesce("e.type", F.lit("insert")).alias("type")
 
 
+def with_route(lines: DataFrame) -> DataFrame:
+    """Lines with their route, to be kept when several routes are read from the same lines."""
+    return _parsed(lines).select(*lines.columns, _route().alias("route"))
+
+
 def parse_changes(lines: DataFrame, route: str) -> DataFrame:
     """Typed rows of one change-log table: table, type, ts, its fields, and ``seq`` if given.
 
@@ -75,20 +92,22 @@ def parse_changes(lines: DataFrame, route: str) -> DataFrame:
     """
     types = column_types(CHANGE_FIELDS[route])
     sent = {c: ("id_" if c == "id" else c) for c in types}
-    rows = _envelope(lines, ", ".join(f"{s}: string" for s in sent.values())).where(F.col("route") == route)
-    carried = ["seq"] if "seq" in lines.columns else []
-    return rows.select(
-        *carried,
-        "e.table",
+    routed = "route" in lines.columns
+    if routed:
+        lines = lines.where(F.col("route") == route)
+    return _where_valid(
+        _parsed(lines, ", ".join(f"{s}: string" for s in sent.values())),
+        F.lit(True) if routed else _route() == route,
+        F.col("e.table"),
         _type(),
-        "e.ts",
+        F.col("e.ts"),
         *[to_type(F.col("e.data")[sent[c]], t).alias(c) for c, t in types.items()],
     )
 
 
 def rejected_changes(lines: DataFrame) -> DataFrame:
     """Lines of no known table, as they came."""
-    return _envelope(lines).where(F.col("route").isNull()).select(*lines.columns)
+    return with_route(lines).where(F.col("route").isNull()).select(*lines.columns)
 
 
 def parse_change_log(lines: DataFrame) -> dict[str, DataFrame]:
@@ -99,37 +118,50 @@ def parse_change_log(lines: DataFrame) -> dict[str, DataFrame]:
 def route_counts(lines: DataFrame) -> DataFrame:
     """Lines per route and change type; rejects under ``#A``."""
     return (
-        _envelope(lines)
-        .groupBy(F.coalesce("route", F.lit("#A")).alias("route"), _type())
+        _parsed(lines)
+        .groupBy(F.coalesce(_route(), F.lit("#A")).alias("route"), _type())
         .agg(F.count("*").alias("num_lines"))
     )
 
 
 def _gps_fields(lines: DataFrame) -> DataFrame:
-    parts = F.split("value", ",")
-    carried = ["seq"] if "seq" in lines.columns else []
-    return lines.select(
-        *carried,
-        "value",
-        F.size(parts).alias("fields"),
-        F.col("value").contains(END_MARK).alias("has_mark"),
-        (F.col("value").startswith(END_MARK) & F.col("value").contains(",")).alias("is_end"),
-        F.get(parts, F.lit(0)).alias("driver_id"),
-        F.get(parts, F.lit(1)).alias("order_id"),
-        F.get(parts, F.lit(2)).try_cast("bigint").alias("ts"),
-        F.get(parts, F.lit(3)).try_cast("double").alias("lng"),
-        F.get(parts, F.lit(4)).try_cast("double").alias("lat"),
-    )
+    return lines.withColumn("p", F.split("value", ","))
+
+
+def _part(position: int) -> Column:
+    return F.get("p", F.lit(position))
+
+
+def _numbers() -> dict[str, Column]:
+    return {
+        "ts": _part(2).try_cast("bigint"),
+        "lng": _part(3).try_cast("double"),
+        "lat": _part(4).try_cast("double"),
+    }
 
 
 def _is_position() -> Column:
-    return F.col("ts").isNotNull() & F.col("lng").isNotNull() & F.col("lat").isNotNull()
+    ts, lng, lat = _numbers().values()
+    return ts.isNotNull() & lng.isNotNull() & lat.isNotNull()
+
+
+def _has_mark() -> Column:
+    return F.col("value").contains(END_MARK)
+
+
+def _is_end() -> Column:
+    return F.col("value").startswith(END_MARK) & F.col("value").contains(",")
 
 
 def parse_gps_points(lines: DataFrame) -> DataFrame:
     """Points to store: lines of five or more fields without the end mark."""
-    rows = _gps_fields(lines).where((F.col("fields") > 4) & ~F.col("has_mark") & _is_position())
-    return rows.drop("value", "fields", "has_mark", "is_end")
+    return _where_valid(
+        _gps_fields(lines),
+        (F.size("p") > 4) & ~_has_mark() & _is_position(),
+        _part(0).alias("driver_id"),
+        _part(1).alias("order_id"),
+        *[value.alias(name) for name, value in _numbers().items()],
+    )
 
 
 def parse_gps_events(lines: DataFrame) -> DataFrame:
@@ -137,23 +169,21 @@ def parse_gps_events(lines: DataFrame) -> DataFrame:
 
     An end mark carries its order only; driver, time and position are null.
     """
-    rows = _gps_fields(lines)
-    point = ~F.col("is_end") & _is_position() & (
-        (F.col("fields") == 5) | (F.col("has_mark") & (F.col("fields") > 4))
-    )
-    carried = [c for c in ("seq",) if c in lines.columns]
-    return rows.where(F.col("is_end") | point).select(
-        *carried,
-        "order_id",
-        *[F.when(~F.col("is_end"), F.col(c)).alias(c) for c in ("driver_id", "ts", "lng", "lat")],
-        "is_end",
+    counted = (F.size("p") == 5) | (_has_mark() & (F.size("p") > 4))
+    fields = {"driver_id": _part(0), **_numbers()}
+    return _where_valid(
+        _gps_fields(lines),
+        _is_end() | (counted & _is_position()),
+        _part(1).alias("order_id"),
+        *[F.when(~_is_end(), value).alias(name) for name, value in fields.items()],
+        _is_end().alias("is_end"),
     )
 
 
 def rejected_gps(lines: DataFrame) -> DataFrame:
     """Lines that are neither a point nor an end mark."""
     rows = _gps_fields(lines)
-    return rows.where(~F.col("is_end") & ((F.col("fields") <= 4) | ~_is_position())).select(*lines.columns)
+    return rows.where(~_is_end() & ((F.size("p") <= 4) | ~_is_position())).select(*lines.columns)
 
 
 def parse_order_lines(lines: DataFrame) -> DataFrame:

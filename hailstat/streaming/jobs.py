@@ -38,13 +38,15 @@ def change_stream(lines: DataFrame, root: str, checkpoint: str, once: bool = Fal
     a row in one partition, and a batch only rewrites the days it touches.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        routed = parse.with_route(batch).persist()
         try:
-            for route in parse.CHANGE_FIELDS:
-                changes = keyed_changes(parse.parse_changes(batch, route))
+            # At most one value per route of the change log.
+            present = {r["route"] for r in routed.select("route").distinct().collect()}
+            for route in present & set(parse.CHANGE_FIELDS):
+                changes = keyed_changes(parse.parse_changes(routed, route))
                 upsert(batch.sparkSession, changes, f"{root}/{route}", ["row_key"], NEWEST, "create_day")
         finally:
-            batch.unpersist()
+            routed.unpersist()
 
     return start(lines, handle, checkpoint, once, "changes")
 
