@@ -82,20 +82,10 @@ def span_of(state: DataFrame) -> DataFrame:
 def order_span(gps: DataFrame) -> DataFrame:
     """First and last time and position per order; of points at the same time the first arrival.
 
-    Folding to one point per (order, second) first leaves only numbers in both aggregates, so they
-    hash instead of sorting, and a very long order is spread over its seconds.
+    The points of an order mostly arrive together, so folding them before the shuffle leaves a few
+    rows per order, however long it is.
     """
-    per_second = _points(gps).groupBy("order_id", "ts").agg(
-        F.min_by("lng", "seq").alias("lng"), F.min_by("lat", "seq").alias("lat")
-    )
-    return per_second.groupBy(F.col("order_id").alias("orderId")).agg(
-        (F.min("ts") * 1000).alias("startTime"),
-        (F.max("ts") * 1000).alias("endTime"),
-        F.min_by("lat", "ts").alias("getOnLat"),
-        F.min_by("lng", "ts").alias("getOnLng"),
-        F.max_by("lat", "ts").alias("getOfLat"),
-        F.max_by("lng", "ts").alias("getOfLng"),
-    ).select(F.lit(GPS_CITY).alias("cityCode"), "*")
+    return span_of(order_state(gps))
 
 
 def live_of(state: DataFrame) -> DataFrame:

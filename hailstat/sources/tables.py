@@ -99,13 +99,18 @@ def upsert(
     only the partitions named in ``changes`` are read and replaced. A replay of the same changes
     leaves the table as it is.
     """
-    newest = latest_per_key(changes, key, order)
-    if table_exists(spark, path):
+    if not table_exists(spark, path):
+        write_partitioned(latest_per_key(changes, key, order), path, partition, "dynamic")
+        return
+    # Read twice below, for the touched partitions and for the rows.
+    newest = latest_per_key(changes, key, order).persist()
+    try:
         current = read_partitioned(spark, path, newest)
         touched = newest.select(partition).distinct()
-        in_touched = current.join(touched, partition, "left_semi")
-        newest = latest_per_key(in_touched.unionByName(newest), key, order)
-    write_partitioned(newest, path, partition, "dynamic")
+        in_touched = current.join(touched, partition, "left_semi").select(*newest.columns)
+        write_partitioned(latest_per_key(in_touched.unionByName(newest), key, order), path, partition, "dynamic")
+    finally:
+        newest.unpersist()
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str, overwrite: str) -> None:
