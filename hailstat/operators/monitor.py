@@ -74,6 +74,17 @@ def last_task(tasks: DataFrame) -> DataFrame:
     return tasks.agg(F.max_by(row, F.struct("finish_time", "task_id")).alias("t")).select("t.*")
 
 
+def task_totals(tasks: DataFrame) -> DataFrame:
+    """Tasks, time, spill and data volumes per host."""
+    summed = (
+        "executor_cpu_time", "jvm_gc_time", "memory_bytes_spilled", "disk_bytes_spilled",
+        "remote_bytes_read", "local_bytes_read", "shuffle_bytes_written", "input_records", "output_records",
+    )
+    return tasks.groupBy("host").agg(
+        F.count("*").alias("tasks"), F.count_if("failed").alias("failed_tasks"), *[F.sum(c).alias(c) for c in summed]
+    )
+
+
 def batch_metrics(progress_lines: DataFrame, interval_ms: int) -> DataFrame:
     """Delays and records per streaming batch from progress reports (``value``).
 

@@ -669,6 +669,7 @@ def _m_views(spark, sf_dir):
 
 
 query("m_task_metrics")(lambda s, d: monitor.task_metrics(sample.task_end_lines(s, d)))
+query("m_task_totals")(lambda s, d: monitor.task_totals(monitor.task_metrics(sample.task_end_lines(s, d))))
 query("m_last_task")(lambda s, d: monitor.last_task(monitor.task_metrics(sample.task_end_lines(s, d))))
 query("m_batch_metrics")(lambda s, d: monitor.batch_metrics(sample.progress_lines(s, d), BATCH_INTERVAL_MS))
 query("m_health_ratios")(lambda s, d: monitor.health_board(sample.snapshots(s, d)))

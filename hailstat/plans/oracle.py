@@ -723,6 +723,12 @@ _TASKS = """SELECT event_id AS task_id, 'host' || (event_id % 7) AS host, false
     event_id % 19 AS shuffle_write_time, event_id % 53 AS input_bytes, event_id % 59 AS input_records,
     event_id % 61 AS output_bytes, event_id % 67 AS output_records FROM events"""
 ORACLE["m_task_metrics"] = _TASKS
+_SUMMED = (
+    "executor_cpu_time jvm_gc_time memory_bytes_spilled disk_bytes_spilled remote_bytes_read local_bytes_read "
+    "shuffle_bytes_written input_records output_records"
+).split()
+ORACLE["m_task_totals"] = f"""SELECT host, count(*) AS tasks, count(*) FILTER (WHERE failed) AS failed_tasks,
+    {', '.join(f'sum({c})::BIGINT AS {c}' for c in _SUMMED)} FROM ({_TASKS}) GROUP BY 1"""
 ORACLE["m_last_task"] = f"SELECT * FROM ({_TASKS}) ORDER BY finish_time DESC, task_id DESC LIMIT 1"
 ORACLE["m_batch_metrics"] = f"""SELECT 'gps' AS query, event_id AS batch_id, event_id % 500 AS records,
     event_id * 37 % 9000 - event_id * 11 % 700 AS schedule_delay, event_id * 37 % 9000 AS total_delay,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,11 @@ def pin_time_zone(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hailstat-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
@@ -49,6 +55,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="hailstat-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"

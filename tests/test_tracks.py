@@ -178,6 +178,19 @@ def test_change_stream_restarts_from_its_checkpoint(spark, tmp_path):
     }
 
 
+def test_continuous_run(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "states")
+    spark.createDataFrame(_random_lines(4), "seq bigint, value string").write.parquet(source)
+    stream = topics.read_files(spark, source, "seq bigint, value string")
+    query = jobs.state_stream(stream, out, str(tmp_path / "check"))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    gps = lines.parse_gps_events(spark.read.parquet(source))
+    assert as_set(tracks.span_of(jobs.read_states(spark, out))) == as_set(tracks.order_span(gps))
+
+
 def test_kafka_columns(spark):
     records = spark.createDataFrame([("gps_topic", 7, 1)], "topic string, offset bigint, ms bigint").select(
         "topic", "offset", F.timestamp_millis("ms").alias("timestamp"), F.lit(b"line").alias("value")
