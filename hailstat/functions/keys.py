@@ -20,14 +20,14 @@ def string_hash(text: Column) -> Column:
     A polynomial in 31 over UTF-16 units: a character beyond the basic plane counts as its two
     surrogates.
     """
-    def step(acc: Column, char: Column) -> Column:
-        point = F.ascii(char).cast("bigint")
+    def step(acc: Column, point: Column) -> Column:
         high = F.lit(0xD800) + F.shiftright(point - 0x10000, 10)
         low = F.lit(0xDC00) + (point - 0x10000) % 1024
         pair = (acc * 31 + high).bitwiseAND(F.lit(WORD)) * 31 + low
         return F.when(point < 0x10000, acc * 31 + point).otherwise(pair).bitwiseAND(F.lit(WORD))
 
-    return F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), step)
+    points = F.transform(F.split(text, ""), lambda char: F.ascii(char).cast("bigint"))
+    return F.aggregate(points, F.lit(0).cast("bigint"), step)
 
 
 def region(text: Column, regions: int = REGIONS) -> Column:

@@ -184,10 +184,12 @@ def heat_map(trips: DataFrame, day: Day, res: int = HOT_RESOLUTION) -> DataFrame
         F.max_by("begin_address_code", F.struct("create_time", "id")).alias("begin_address_code"),
         F.count("*").alias("count"),
     )
-    outline = grid.array_centroid(grid.cell_boundary(F.col("cell")))
-    return per_cell.select(
+    # Columns of their own, so that the outline is made once and not once per use.
+    outlined = per_cell.withColumn("outline", grid.cell_boundary(F.col("cell")))
+    placed = outlined.withColumn("center", grid.array_centroid(F.col("outline")))
+    return placed.select(
         F.col("cell").cast("string").alias("rk"),
         "begin_address_code",
-        grid.lng_lat_text(outline).alias("centerPoint"),
+        grid.lng_lat_text(F.col("center")).alias("centerPoint"),
         "count",
     )
