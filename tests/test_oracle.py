@@ -17,10 +17,11 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLE) <= set(entry.CORPUS_QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, SF_DIR, QUERIES[name], ORACLE[name]) == ""
 
