@@ -4,14 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailstat.llm import minhash
+from hailstat.llm import contamination, minhash, packing, substrings
 from hailstat.llm.tables import table
 
 
+def op2_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which ten words of a benchmark item stand."""
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that no earlier window of twenty words covers."""
+    return substrings.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, every window with the sources' proportions."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents: 2-word shingles, similarity of 0.8 or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
-QUERIES = {"op9_minhash": op9_minhash}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_suffix_arrays,
+        op3_superkmers,
+        op8_mixture,
+        op9_minhash,
+    )
+}
 ORACLE: dict[str, str] = {}
