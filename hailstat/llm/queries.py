@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailstat.llm import contamination, minhash, packing, substrings
+from hailstat.llm import contamination, lines, minhash, packing, substrings, toxicity
 from hailstat.llm.tables import table
 
 
@@ -18,6 +18,11 @@ def op3_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines that spread over ten sites or more."""
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 tokens, every window with the sources' proportions."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -28,13 +33,22 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels outside the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs, toxicity.learn(docs, labels.where(~toxicity.held_out())))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op2_suffix_arrays,
         op3_superkmers,
+        op7_lines,
         op8_mixture,
         op9_minhash,
+        op10_toxicity,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_lines": lines.ORACLE_SQL}
