@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailstat.llm import contamination, lines, minhash, packing, substrings, toxicity
+from hailstat.llm import contamination, licenses, lines, minhash, packing, personal, substrings, toxicity
 from hailstat.llm.tables import table
 
 
@@ -18,6 +18,16 @@ def op3_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, and lines that hold most words of a license sentence."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data: the exact kinds, and what the labelers' votes add."""
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without the lines that spread over ten sites or more."""
     return lines.line_dedup(table(spark, sf_dir, "documents"))
@@ -45,6 +55,8 @@ QUERIES = {
     for f in (
         op2_suffix_arrays,
         op3_superkmers,
+        op5_licenses,
+        op6_personal,
         op7_lines,
         op8_mixture,
         op9_minhash,
