@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailstat.llm import contamination, licenses, lines, minhash, packing, personal, substrings, toxicity
+from hailstat.llm import contamination, licenses, lines, minhash, packing, pages, personal, substrings, toxicity, vectors
 from hailstat.llm.tables import table
 
 
+def op1_suffix_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in which ten words of a benchmark item stand."""
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -18,6 +23,11 @@ def op3_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op4_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with a cosine of 0.9 or more, through the pivot-permutation index."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases, and lines that hold most words of a license sentence."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
@@ -53,8 +63,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_pages,
         op2_suffix_arrays,
         op3_superkmers,
+        op4_pivots,
         op5_licenses,
         op6_personal,
         op7_lines,
