@@ -69,21 +69,37 @@ def line_dedup(docs: DataFrame, site: str = "source", sites: int = SITES, share:
     empty text has one empty line. A null site is a site. Texts are taken whole; columns other than
     ``doc_id``, ``text`` and ``site`` are ignored; no rows give no rows. A document may end up empty.
     """
-    docs = documents(docs, F.col(site).cast("string").alias("site"))
+    told = _cut(documents(docs, F.col(site).cast("string").alias("site")), sites, share)
+    return told.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def clean_lines(docs: DataFrame, site: str = "source") -> DataFrame:
+    """The rows of ``docs``, all their columns, with the cleaned text and, where there is one, its ``n_chars``."""
+    taken = {"doc_id", "text"}
+    others = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in taken)).alias("others")] if set(docs.columns) - taken else []
+    told = _cut(documents(docs, F.col(site).cast("string").alias("site"), *others), SITES, SHARE)
+    lengths = {"n_chars": F.length("text").cast("long")}
+    return told.select(*(
+        lengths.get(c, F.col(c) if c in taken else F.col(f"others.`{c}`")).alias(c) for c in docs.columns
+    ))
+
+
+def _cut(docs: DataFrame, sites: int, share: float) -> DataFrame:
+    """``docs`` with the cleaned text, ``n_lines`` and ``n_removed``."""
     found = stored(boilerplate(docs, sites, share), "boilerplate")
     cut = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("i", "body"))
     hashed = cut.select("doc_id", "i", F.xxhash64(_bare(F.col("body"))).alias("line")).where("i IS NOT NULL")
     # Only the places of boilerplate lines are shuffled by document, not the lines.
     gone = hashed.join(found, "line").groupBy("doc_id").agg(F.collect_set("i").alias("gone"))
-    joined = docs.select("doc_id", "text").join(gone, "doc_id", "left").select(
-        "doc_id", "text", F.split("text", "\n").alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone")
+    joined = docs.join(gone, "doc_id", "left").withColumns(
+        {"lines": F.split("text", "\n"), "gone": F.coalesce("gone", F.array().cast("array<int>"))}
     )
     kept = F.filter("lines", lambda x, i: ~F.array_contains("gone", i))
-    return joined.select(
-        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
-        F.size("gone").cast("long").alias("n_removed"),
-        F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text"),
-    )
+    return joined.withColumns({
+        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long"),
+        "n_removed": F.size("gone").cast("long"),
+        "text": F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")),
+    })
 
 
 ORACLE_SQL = rf"""
