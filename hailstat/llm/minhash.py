@@ -219,3 +219,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     and nulls link with nothing; copies share a component; no rows give no rows; other columns are ignored.
     """
     return NearDuplicates(docs, size, percent, miss).resolved().withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns, without all but the first document of each component."""
+    dropped = near_duplicates(docs, size, percent).where(~F.col("kept")).select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
