@@ -1,12 +1,51 @@
-"""A training corpus from raw documents: the stages, each over all that its predecessor kept."""
+"""A training corpus from raw documents: the stages, each over all that its predecessor kept.
+
+A stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hailstat.llm import contamination, lines, minhash, packing, toxicity
 from hailstat.llm.tables import stored, table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; learnt from the labels outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    return toxicity.clean_documents(docs, toxicity.learn(docs, labels))
+
+
+def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that spread over many sites."""
+    return lines.clean_lines(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by the operator's contract: 2-word shingles, 0.8."""
+    return minhash.deduplicated(docs, size=2, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item stands."""
+    return contamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of one length."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_boilerplate_lines),
+    ("minhash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+# The classifier, the sketches' neighbours and the tokenizer are not SQL; tests compare each stage with brute force.
 ORACLE_SQL = None
 
 
