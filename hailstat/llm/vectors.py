@@ -1,7 +1,9 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Pivots are at most ``PIVOTS`` vectors, those of the smallest hashes of their values. A vector is described
-by its nearest ``NEAREST`` pivots in order. Two vectors are candidates if at least ``SHARED`` pivots are
+Pivots are at most ``PIVOTS`` of a sample of ``SAMPLE`` vectors (those of the smallest hashes of their values),
+taken in turn if their cosine with every earlier pivot is below ``APART``: pivots inside one dense group
+would be in a different order for each of its members. A vector is described by its nearest ``NEAREST``
+pivots in order. Two vectors are candidates if at least ``SHARED`` pivots are
 common to their descriptions; the inverted lists are therefore keyed by groups of ``SHARED`` pivots, which
 is the same as counting shared pivots in lists of single ones, without the long lists of popular pivots.
 Candidates are verified by cosine in double precision.
@@ -25,7 +27,9 @@ from hailstat.llm import words as W
 from hailstat.llm.components import components
 from hailstat.llm.tables import stored
 
+SAMPLE = 2048
 PIVOTS = 96
+APART = 0.7
 NEAREST = 6
 SHARED = 3
 COSINE = 0.9
@@ -74,6 +78,17 @@ def stacked(column) -> np.ndarray:
     return np.frombuffer(data, np.float64).reshape(len(column), -1)
 
 
+def choose_pivots(units: np.ndarray, most: int) -> np.ndarray:
+    """Rows in their order, each unless it is too near to one taken before."""
+    taken = units[:1]
+    for row in units[1:]:
+        if len(taken) == most:
+            break
+        if (taken @ row).max() < APART:
+            taken = np.vstack([taken, row])
+    return taken
+
+
 def described(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The nearest pivots of each row, nearest first; ties go to the lower pivot."""
     return np.argsort(-np.round(units @ pivots.T, 12), axis=1, kind="stable")[:, :NEAREST]
@@ -183,11 +198,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, pivots: int = PIVOT
     )
     firsts = classes.select(F.col("first").alias("vec_id"), "copies")
     distinct = stored(units.join(firsts, "vec_id").select("vec_id", "copies", "unit"), "distinct")
-    drawn = distinct.orderBy(F.xxhash64("unit"), "vec_id").limit(pivots).select("unit").collect()  # at most PIVOTS rows
+    drawn = distinct.orderBy(F.xxhash64("unit"), "vec_id").limit(SAMPLE).select("unit").collect()
     if not drawn:
         return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     width = max(len(r[0]) for r in drawn)
-    base = np.stack([np.frombuffer(r[0], np.float64) for r in drawn if len(r[0]) == width])
+    base = choose_pivots(np.stack([np.frombuffer(r[0], np.float64) for r in drawn if len(r[0]) == width]), pivots)
     same = distinct.where(F.length("unit") == width)
     listed = same.select("vec_id", "unit").mapInArrow(_lists(base), "list long, vec_id long")
     lengths = listed.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
