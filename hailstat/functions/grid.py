@@ -18,7 +18,8 @@ ORIGIN_LNG = 110.0
 ORIGIN_LAT = 20.0
 METRES_PER_DEGREE = 111320.0
 EDGE_AT_7 = 1200.0
-COORDINATE_BITS = 24
+COORDINATE_BITS = 29
+RESOLUTIONS = range(0, 16)  # every place on earth fits the bits of the finest
 OFFSET = 2 ** (COORDINATE_BITS - 1)
 
 LNG_METRES = math.cos(math.radians(ORIGIN_LAT)) * METRES_PER_DEGREE
@@ -30,20 +31,23 @@ def edge_length(res: int) -> float:
 
 
 def cell_of(lat: Column, lng: Column, res: int) -> Column:
-    """The cell that holds a point; null for a null coordinate.
+    """The cell that holds a point; null for a coordinate that is null, not finite or out of range.
 
     Three families of parallel lines through the corners cut the plane into triangles. The line
     numbers ``u``, ``v`` and ``w`` of a point name its triangle and, divided by three, the hexagon
     that the triangle is a part of. It is the nearest centre, as rounding of cube coordinates finds
     it, but short and without branches, so that it stays cheap inside generated code.
     """
+    if res not in RESOLUTIONS:
+        raise ValueError(f"resolution {res} is not one of {RESOLUTIONS.start} to {RESOLUTIONS.stop - 1}")
     edge = edge_length(res)
+    on_earth = lat.between(-90, 90) & lng.between(-180, 180)
     x = (lng - ORIGIN_LNG) * (LNG_METRES / math.sqrt(3.0) / edge)
     y = (lat - ORIGIN_LAT) * (METRES_PER_DEGREE / edge)
     u, v, w = F.floor(x * 2.0), F.floor(x - y), F.floor(x + y)
     q, r = F.floor((u + v + 2) / 3.0), F.floor((w - v + 1) / 3.0)
     high = F.lit((res * 2**COORDINATE_BITS + OFFSET) * 2**COORDINATE_BITS + OFFSET).cast("bigint")
-    return high + q * 2**COORDINATE_BITS + r
+    return F.when(on_earth, high + q * 2**COORDINATE_BITS + r)
 
 
 def _resolution(cell: Column) -> Column:

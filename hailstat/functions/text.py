@@ -35,9 +35,9 @@ def amount_text(amount: Column) -> Column:
     return F.round(amount, 2).cast("decimal(38,2)").cast("string")
 
 
-def exact_sum(amount: Column) -> Column:
-    """Sum in decimals: the same to the last digit however the rows are partitioned."""
-    return F.sum(amount.cast("decimal(18,4)"))
+def amount_sum(amount: Column) -> Column:
+    """The plain sum; amounts are rounded when they are shown and not before they are added."""
+    return F.sum(amount)
 
 
 def city_prefix(code: Column) -> Column:

@@ -13,8 +13,6 @@ from hailstat.periods import between, since
 # Fixed values of the report.
 HOT_RESOLUTION = 7
 HOT_RADIUS = 1200
-# Cells kept in one array of ``hot_detail``; an area with more gets several rows.
-CELLS_PER_ROW = 4096
 
 Day = str | dt.date
 Span = tuple[Day, Day]
@@ -28,7 +26,7 @@ def hot_cells(trips: DataFrame, start: Day, end: Day, res: int = HOT_RESOLUTION)
     """Per cell, the trips of ``[start, end)`` and the area code of the earliest one.
 
     One aggregate: equal to numbering the trips of a cell twice by window, but folded before the
-    shuffle and without a per-cell sort. Trips at the same time are ordered by id.
+    shuffle. Trips at the same time are ordered by id.
     """
     kept = with_cell(trips.where(between(F.col("create_time"), start, end)), res)
     per_cell = kept.groupBy("cell").agg(
@@ -107,28 +105,19 @@ def as_detail(cells: DataFrame) -> DataFrame:
     return cells.select(F.col("begin_address_code").alias("city_code"), "coordinate", "radius", "count")
 
 
-def hot_detail(cells: DataFrame, cells_per_row: int = CELLS_PER_ROW) -> DataFrame:
-    """Per area code, the sum of the counts and the list of its cells.
+def hot_detail(cells: DataFrame) -> DataFrame:
+    """Per area code one row with the sum of its counts, and one row for each of its cells.
 
-    ``cells`` has one row per cell, so a list is bounded by the ground an area covers and not by
-    its trips. Should an area, or a code that collects strays, still have more than
-    ``cells_per_row`` cells, they are spread by hash over several rows (``part`` 0, 1, …) that
-    repeat the sum.
+    The sum's row has no cell and a cell's row no sum, so either can be added up. Rows and not lists: an
+    area may have any number of cells.
     """
-    totals = cells.groupBy(F.col("city_code").alias("code")).agg(
-        F.sum("count").alias("city_num"), F.ceil(F.count("*") / cells_per_row).alias("parts")
-    )
-    placed = cells.join(totals, F.col("city_code").eqNullSafe(F.col("code"))).withColumn(
-        "part", F.pmod(F.xxhash64("coordinate"), F.col("parts")).cast("int")
-    )
-    cell = F.struct("city_code", "coordinate", "radius", "count")
-    return placed.groupBy("city_code", "part", "city_num").agg(
-        F.sort_array(F.collect_list(cell)).alias("hot_cells")
-    )
+    sums = area_totals(cells)
+    listed = cells.select("city_code", F.lit(None).cast("bigint").alias("city_num"), "coordinate", "radius", "count")
+    return listed.unionByName(sums, allowMissingColumns=True)
 
 
 def area_totals(cells: DataFrame) -> DataFrame:
-    """The sums of ``hot_detail`` without its lists."""
+    """The sums of ``hot_detail`` alone."""
     return cells.groupBy("city_code").agg(F.sum("count").alias("city_num"))
 
 

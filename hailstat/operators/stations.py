@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailstat.functions import grid
+from hailstat.sources.tables import finite
 
 STATION_RESOLUTION = 12
 # Side of the square tiles, in degrees, by which points and districts are matched.
 TILE_DEGREES = 0.1
-# Districts are only sent to all executors when their edges, once per tile, stay below this size.
-EDGE_BYTES = 32
-BROADCAST_BYTES = 64 * 1024 * 1024
+# The most edges, counted once per tile, that ``with_broadcast_districts`` sends to all executors.
+BROADCAST_EDGES = 500_000
 
 
 def station_grid(orders: DataFrame, res: int = STATION_RESOLUTION) -> DataFrame:
@@ -38,7 +38,7 @@ def parse_ring(text: Column) -> Column:
     def point(pair: Column) -> Column:
         xy = F.split(pair, ",")
         return F.struct(
-            F.get(xy, F.lit(0)).try_cast("double").alias("lng"), F.get(xy, F.lit(1)).try_cast("double").alias("lat")
+            finite(F.get(xy, F.lit(0))).alias("lng"), finite(F.get(xy, F.lit(1))).alias("lat")
         )
 
     return F.transform(F.split(F.nullif(F.trim(text), F.lit("")), ";"), point)
@@ -71,13 +71,24 @@ def contains(edges: Column, lng: Column, lat: Column) -> Column:
 
 
 def district_edges(districts: DataFrame) -> DataFrame:
-    """Polygon texts as edges: citycode, district_name, edges. Blank polygons are left out."""
-    parsed = districts.select(
-        "citycode", F.col("name").alias("district_name"), ring_edges(parse_ring(F.col("polygon"))).alias("edges")
-    )
+    """Polygon texts as edges: citycode, district_name, edges.
+
+    Blank polygons are left out, and those with a malformed vertex, which are in ``rejected_districts``.
+    """
+    rings = districts.withColumn("ring", parse_ring(F.col("polygon"))).where(_whole(F.col("ring")))
+    parsed = rings.select("citycode", F.col("name").alias("district_name"), ring_edges(F.col("ring")).alias("edges"))
     return parsed.where(F.size("edges") > 0)
 
 
+def _whole(ring: Column) -> Column:
+    return F.forall(ring, lambda p: p["lng"].isNotNull() & p["lat"].isNotNull())
+
+
+def rejected_districts(districts: DataFrame) -> DataFrame:
+    """Districts of which a vertex is malformed, as they came."""
+    return districts.where(~_whole(parse_ring(F.col("polygon"))))
+
+
 def rings_to_edges(rings: DataFrame) -> DataFrame:
     """Rings of multi-polygons (citycode, district_name, ring) as one list of edges per district."""
     return (
@@ -87,24 +98,32 @@ def rings_to_edges(rings: DataFrame) -> DataFrame:
     )
 
 
-def broadcast_if_small(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if its measured size is below the limit, else as it is."""
-    measured = df.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if measured <= limit else df
-
-
 def _tile(degrees: Column, tile: float) -> Column:
     return F.floor(degrees / tile)
 
 
-def with_district(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREES, limit: int = BROADCAST_BYTES) -> DataFrame:
+def with_broadcast_districts(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREES, limit: int = BROADCAST_EDGES) -> DataFrame:
+    """``with_district`` with the districts sent to all executors; refused beyond ``limit`` edges."""
+    tiles = district_tiles(edges, tile)
+    found = tiles.agg(F.sum(F.size("edges"))).first()[0] or 0
+    if found > limit:
+        raise ValueError(f"{found} edges are more than the {limit} that may be broadcast; use with_district")
+    return _in_tiles(points, F.broadcast(tiles), tile)
+
+
+def with_district(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREES) -> DataFrame:
     """Points with the name of the district that contains them; no row for a point in none.
 
     Districts are cut into the tiles that their bounding box covers and points are joined to them
     by tile, so a point is only tested against districts nearby. The crossing test runs inside the
-    row; nothing is grouped afterwards. Small district tables are broadcast, large ones joined by
-    shuffle, where adaptive execution splits a crowded tile.
+    row; nothing is grouped afterwards. Spark chooses the join by the sizes it knows; in a shuffle, adaptive
+    execution splits a crowded tile.
     """
+    return _in_tiles(points, district_tiles(edges, tile), tile)
+
+
+def district_tiles(edges: DataFrame, tile: float = TILE_DEGREES) -> DataFrame:
+    """Districts cut into tiles, each with the edges that a ray to the east from one of its points can cross."""
     xs = F.flatten(F.transform("edges", lambda e: F.array(e["x1"], e["x2"])))
     ys = F.flatten(F.transform("edges", lambda e: F.array(e["y1"], e["y2"])))
     boxed = edges.select(
@@ -114,8 +133,18 @@ def with_district(points: DataFrame, edges: DataFrame, tile: float = TILE_DEGREE
         F.sequence(_tile(F.array_min(ys), tile), _tile(F.array_max(ys), tile)).alias("tiles_y"),
     )
     tiles = boxed.withColumn("tile_x", F.explode("tiles_x")).withColumn("tile_y", F.explode("tiles_y"))
-    tiles = tiles.select("tile_x", "tile_y", "district_name", "edges")
-    tiles = broadcast_if_small(tiles, F.size("edges") * EDGE_BYTES, limit)
+    left, low = F.col("tile_x") * tile, F.col("tile_y") * tile
+    # A margin far below a vertex's precision keeps points on a tile's border with their edges.
+    needed = F.filter(
+        "edges",
+        lambda e: (F.greatest(e["x1"], e["x2"]) >= left - 1e-9)
+        & (F.greatest(e["y1"], e["y2"]) >= low - 1e-9)
+        & (F.least(e["y1"], e["y2"]) <= low + tile + 1e-9),
+    )
+    return tiles.select("tile_x", "tile_y", "district_name", needed.alias("edges")).where(F.size("edges") > 0)
+
+
+def _in_tiles(points: DataFrame, tiles: DataFrame, tile: float) -> DataFrame:
     placed = points.withColumn("tile_x", _tile(F.col("starting_lng"), tile)).withColumn(
         "tile_y", _tile(F.col("starting_lat"), tile)
     )
@@ -129,8 +158,8 @@ DISTRICT_JSON = (
     "array<struct<name: string, citycode: string, polyline: string, level: string>>>>"
 )
 GEOJSON = (
-    "features array<struct<properties: struct<name: string>, "
-    "geometry: struct<type: string, coordinates: array<array<array<array<double>>>>>>>"
+    "features array<struct<properties: struct<name: string, citycode: string>, "
+    "geometry: struct<type: string, coordinates: string>>>"
 )
 
 
@@ -146,13 +175,21 @@ def parse_districts(documents: DataFrame) -> DataFrame:
 
 
 def parse_geojson(documents: DataFrame) -> DataFrame:
-    """Rings of the multi-polygons of feature collections (``value``), numbered per part."""
+    """Rings of the polygons and multi-polygons of feature collections (``value``), numbered per part.
+
+    A polygon is a multi-polygon of one part. The city code is a property; without one it is null.
+    """
     feature = documents.select(F.explode(F.from_json("value", GEOJSON)["features"]).alias("f"))
-    parts = feature.where(F.col("f.geometry.type") == "MultiPolygon").select(
-        F.col("f.properties.name").alias("district_name"), F.posexplode("f.geometry.coordinates").alias("part", "rings")
+    shape, kind = F.col("f.geometry.coordinates"), F.col("f.geometry.type")
+    whole = F.when(kind == "MultiPolygon", shape).when(kind == "Polygon", F.concat(F.lit("["), shape, F.lit("]")))
+    parts = feature.withColumn("parts", F.from_json(whole, "array<array<array<array<double>>>>")).select(
+        F.col("f.properties.citycode").alias("citycode"),
+        F.col("f.properties.name").alias("district_name"),
+        F.posexplode("parts").alias("part", "rings"),
     )
-    rings = parts.select("district_name", "part", F.posexplode("rings").alias("ring_no", "points"))
+    rings = parts.select("citycode", "district_name", "part", F.posexplode("rings").alias("ring_no", "points"))
     return rings.select(
+        "citycode",
         "district_name",
         "part",
         "ring_no",

@@ -47,6 +47,7 @@ def order_state(gps: DataFrame) -> DataFrame:
     """
     is_point = ~F.col("is_end")
     position = (F.col("lng"), F.col("lat"))
+    gps = gps.withColumn("seq", F.col("seq").cast("decimal(38,0)"))  # any arrival order, of files or of topics
     return gps.groupBy("order_id").agg(
         F.min(F.when(is_point, F.struct("ts", "seq", *position))).alias("start"),
         F.max(F.when(is_point, F.struct("ts", (-F.col("seq")).alias("back"), *position))).alias("finish"),
@@ -111,9 +112,9 @@ def hour_counts_of(state: DataFrame) -> DataFrame:
     return hours_of(state.where(F.col("first_seen").isNotNull()).select(F.col("first_seen.ts").alias("ts")))
 
 
-def hour_board(counts: DataFrame, day: str, city: str = GPS_CITY) -> DataFrame:
-    """Hourly counts of one day under the names of the live board."""
-    name = F.concat_ws("_", F.lit(city), "day", F.col("hour").cast("string"))
+def hour_board(counts: DataFrame, day: str) -> DataFrame:
+    """Hourly counts of one day under the names of the live board; the feed has one city."""
+    name = F.concat_ws("_", F.lit(GPS_CITY), "day", F.col("hour").cast("string"))
     return counts.where(F.col("day") == day).select(name.alias("field"), "order_count")
 
 
@@ -148,7 +149,7 @@ def feed_for(requests: DataFrame, gps: DataFrame) -> DataFrame:
     feed = gps.join(wanted, "order_id", "left_semi")
     silent = wanted.join(gps.select("order_id"), "order_id", "left_anti")
     return track_feed(feed).unionByName(
-        silent.select("order_id", F.lit(None).cast("bigint").alias("seq"), F.lit(NO_POINT).alias("message"))
+        silent.select("order_id", F.lit(None).cast(gps.schema["seq"].dataType).alias("seq"), F.lit(NO_POINT).alias("message"))
     )
 
 

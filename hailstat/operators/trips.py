@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailstat.functions.text import (
+    amount_sum,
     amount_text,
     city_code,
     city_prefix,
     count_text,
-    exact_sum,
 )
 from hailstat.functions.times import day_span
 from hailstat.periods import Period
@@ -138,11 +138,11 @@ def month_total(trips: DataFrame, period: Period) -> DataFrame:
 
 
 def mileage(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.round(exact_sum(F.col("charge_mileage")), 2).cast("double").alias("charge_mileage"))
+    return trips.agg(F.round(amount_sum(F.col("charge_mileage")), 2).cast("double").alias("charge_mileage"))
 
 
 def pay_total(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.round(exact_sum(F.col("pay_all")), 2).cast("double").alias("pay_all"))
+    return trips.agg(F.round(amount_sum(F.col("pay_all")), 2).cast("double").alias("pay_all"))
 
 
 def average_per_day(trips: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def platform_summary(trips: DataFrame, period: Period) -> DataFrame:
         F.count("*").alias("total"),
         F.count_if(period.within("month", time)).alias("month"),
         day_span(time).alias("days"),
-        exact_sum(F.col("charge_mileage")).alias("mileage"),
+        amount_sum(F.col("charge_mileage")).alias("mileage"),
     )
     return row.select(
         F.lit("1").alias("rk"),
@@ -172,7 +172,7 @@ def platform_summary(trips: DataFrame, period: Period) -> DataFrame:
 
 def order_rider_pay(trips: DataFrame, riders: DataFrame) -> DataFrame:
     """All trips, all riders and the income in one row: two one-row totals, stacked and folded."""
-    from_trips = trips.agg(F.count("*").alias("orders"), exact_sum(F.col("pay_all")).alias("pay"))
+    from_trips = trips.agg(F.count("*").alias("orders"), amount_sum(F.col("pay_all")).alias("pay"))
     from_riders = riders.agg(F.count("*").alias("riders"))
     stacked = from_trips.unionByName(from_riders, allowMissingColumns=True)
     row = stacked.agg(F.max("orders").alias("orders"), F.max("riders").alias("riders"), F.max("pay").alias("pay"))

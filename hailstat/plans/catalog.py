@@ -490,10 +490,7 @@ query("h_hot_delta_stored")(lambda s, d: hotareas.hot_delta(_hot(s, d, HOT_NOW),
 
 @query("h_hot_detail")
 def _h_hot_detail(spark, sf_dir):
-    """The lists are unnested again so that they can be compared row by row."""
-    detail = hotareas.hot_detail(hotareas.as_detail(_hot(spark, sf_dir, HOT_NOW)))
-    rows = detail.select("city_code", "city_num", F.posexplode("hot_cells").alias("position", "c"))
-    return rows.select("city_code", "city_num", "position", "c.coordinate", "c.radius", "c.count")
+    return hotareas.hot_detail(hotareas.as_detail(_hot(spark, sf_dir, HOT_NOW)))
 
 
 query("h_hot_order")(
@@ -536,9 +533,9 @@ query("v_district_join")(lambda s, d: _station_columns(_placed(s, d), "district_
 
 @query("v_broadcast_districts")
 def _v_broadcast_districts(spark, sf_dir):
-    """Districts at the size limit of nothing: joined by shuffle, with the result of the broadcast."""
+    """The district join with the districts sent to all executors."""
     edges = stations.district_edges(sample.districts(spark))
-    return _station_columns(stations.with_district(_stations(spark, sf_dir), edges, limit=0), "district_name")
+    return _station_columns(stations.with_broadcast_districts(_stations(spark, sf_dir), edges), "district_name")
 
 
 query("v_district_parse")(lambda s, d: stations.parse_districts(sample.district_documents(s, d)))
@@ -574,6 +571,22 @@ def _c_cdc_apply(spark, sf_dir):
     return _change_columns(changes.apply_changes(None, _order_changes(spark, sf_dir)))
 
 
+def _applied(spark, sf_dir, route):
+    return changes.apply_changes(None, lines.parse_changes(sample.change_lines(spark, sf_dir), route))
+
+
+query("c_cdc_apply_riders")(lambda s, d: _applied(s, d, lines.RIDER_TABLE).select("row_key", "id", "city_name"))
+query("c_cdc_apply_drivers")(lambda s, d: _applied(s, d, lines.DRIVER_TABLE).select("row_key", "id", "driver_name", "cancel_count"))
+query("c_cdc_apply_alliances")(lambda s, d: _applied(s, d, lines.ALLIANCE_TABLE).select("row_key", "id_", "alliance_name", "state"))
+
+
+@query("c_cdc_unkeyed")
+def _c_cdc_unkeyed(spark, sf_dir):
+    """Rider changes that no key can be made for."""
+    rows = lines.parse_changes(sample.change_lines(spark, sf_dir), lines.RIDER_TABLE)
+    return changes.unkeyed_changes(rows).select("seq", "type", "id")
+
+
 @query("c_cdc_merge")
 def _c_cdc_merge(spark, sf_dir):
     """Inserts stored as a table, then all changes merged into it."""
@@ -632,6 +645,16 @@ query("g_latest_point")(lambda s, d: tracks.latest_point(_gps(s, d)))
 query("g_track_history")(
     lambda s, d: tracks.track(sample.gps_points(s, d), start=TRACK_BOUNDS[0], end=TRACK_BOUNDS[1])
 )
+query("g_order_history")(lambda s, d: tracks.span_track(sample.gps_points(s, d), tracks.order_span(_gps(s, d))))
+
+
+@query("g_feed_requests")
+def _g_feed_requests(spark, sf_dir):
+    """The feed of one order per rider key and of one that never sent anything."""
+    asked = sample.riders(spark, sf_dir).select(F.concat("id", F.lit("_20240115")).alias("order_id"))
+    return tracks.feed_for(asked, _gps(spark, sf_dir))
+
+
 query("g_points_query")(lambda s, d: tracks.query_points(_point_store(s, d), *POINT_BOUNDS, city=lines.GPS_CITY))
 query("g_points_brief")(
     lambda s, d: tracks.query_points(_point_store(s, d), *POINT_BOUNDS, city=lines.GPS_CITY, brief=True)

@@ -64,7 +64,7 @@ def _cells(edge: float, lng: str, lat: str, res: int) -> str:
     """Cell id of a point, as nested selects over a table ``p``."""
     return f"""
         SELECT * EXCLUDE (x, y, q, r, nq, nr, ns, dq, dr, ds),
-               {res * 2**48} + ((CASE WHEN dq > dr AND dq > ds THEN -nr - ns ELSE nq END)::BIGINT + {grid.OFFSET}) * {2**24}
+               {res * 2 ** (2 * grid.COORDINATE_BITS)} + ((CASE WHEN dq > dr AND dq > ds THEN -nr - ns ELSE nq END)::BIGINT + {grid.OFFSET}) * {2**grid.COORDINATE_BITS}
                + (CASE WHEN dq > dr AND dq > ds THEN nr WHEN dr > ds THEN -nq - ns ELSE nr END)::BIGINT + {grid.OFFSET}
                AS cell
         FROM (SELECT *, floor(q + 0.5::DOUBLE) AS nq, floor(r + 0.5::DOUBLE) AS nr, floor(-q - r + 0.5::DOUBLE) AS ns,
@@ -80,8 +80,8 @@ def _cell_table(source: str, res: int, lng: str = "open_lng", lat: str = "open_l
 
 
 def _metres(axis: str, cell: str = "cell", edge: float = grid.EDGE_AT_7) -> str:
-    q = f"(({cell} >> 24) & {2**24 - 1}) - {grid.OFFSET}"
-    r = f"({cell} & {2**24 - 1}) - {grid.OFFSET}"
+    q = f"(({cell} >> {grid.COORDINATE_BITS}) & {2**grid.COORDINATE_BITS - 1}) - {grid.OFFSET}"
+    r = f"({cell} & {2**grid.COORDINATE_BITS - 1}) - {grid.OFFSET}"
     if axis == "x":
         return f"({edge!r}::DOUBLE * {math.sqrt(3.0)!r}::DOUBLE * (({q}) + ({r}) / 2.0::DOUBLE))"
     return f"({edge * 1.5!r}::DOUBLE * ({r}))"
@@ -418,8 +418,8 @@ ORACLE["t_total"] = _with("SELECT count(*) AS totalOrderNum FROM trips", "trips"
 ORACLE["t_month_total"] = _with(
     f"SELECT count(*) AS monthOrderNum FROM trips WHERE {_inside(_P, 'month')}", "trips"
 )
-_MILEAGE = "round(sum(charge_mileage::DECIMAL(18,4)), 2)"
-_PAY = "round(sum(pay_all::DECIMAL(18,4)), 2)"
+_MILEAGE = "round(sum(charge_mileage), 2)"
+_PAY = "round(sum(pay_all), 2)"
 _AVERAGE = "round(count(*) / datediff('day', min(create_time)::DATE, max(create_time)::DATE), 2)"
 ORACLE["t_mileage"] = _with(f"SELECT {_MILEAGE}::DOUBLE AS charge_mileage FROM trips", "trips")
 ORACLE["t_pay_total"] = _with(f"SELECT {_PAY}::DOUBLE AS pay_all FROM trips", "trips")
@@ -540,10 +540,8 @@ ORACLE["h_hot_prev_day"] = _with(_HOT_BEFORE, "trips")
 ORACLE["h_hot_delta"] = _with(_HOT_DELTA, "trips")
 ORACLE["h_hot_delta_stored"] = ORACLE["h_hot_delta"]
 ORACLE["h_hot_detail"] = _with(
-    f"""SELECT begin_address_code AS city_code, (sum(count) OVER (PARTITION BY begin_address_code))::BIGINT AS city_num,
-               (row_number() OVER (PARTITION BY begin_address_code ORDER BY coordinate, radius, count) - 1)::INTEGER
-                   AS position,
-               coordinate, radius, count FROM ({_HOT_NOW})""",
+    f"""SELECT begin_address_code AS city_code, NULL::BIGINT AS city_num, coordinate, radius, count FROM ({_HOT_NOW})
+        UNION ALL SELECT begin_address_code, sum(count)::BIGINT, NULL, NULL, NULL FROM ({_HOT_NOW}) GROUP BY 1""",
     "trips",
 )
 _HOT_ORDER = f"""SELECT t.city_code AS rk, t.city_code AS _city_code, t.n::VARCHAR AS _day_order_num,
@@ -629,6 +627,18 @@ ORACLE["v_district_parse"] = _with(
 
 ORACLE["c_cdc_apply"] = _NEWEST_CHANGES
 ORACLE["c_cdc_merge"] = _NEWEST_CHANGES
+_RIDER_KEY = _salted("c_custkey || '_20240102030405'")
+ORACLE["c_cdc_apply_riders"] = (
+    f"SELECT {_RIDER_KEY} AS row_key, c_custkey::VARCHAR AS id, c_name AS city_name FROM customer WHERE c_custkey % 10 <> 0"
+)
+_DRIVER_KEY = _salted("s_suppkey || '_20240203040506'")
+ORACLE["c_cdc_apply_drivers"] = f"""SELECT {_DRIVER_KEY} AS row_key, s_suppkey::VARCHAR AS id, s_name AS driver_name,
+    s_nationkey::INTEGER AS cancel_count FROM supplier"""
+_ALLIANCE_KEY = _salted("p_partkey || '_20240304050607'")
+ORACLE["c_cdc_apply_alliances"] = f"""SELECT {_ALLIANCE_KEY} AS row_key, p_partkey::VARCHAR AS id_, p_name AS alliance_name,
+    p_size::INTEGER AS state FROM part"""
+ORACLE["c_cdc_unkeyed"] = """SELECT c_custkey::BIGINT AS seq, 'insert' AS type, c_custkey::VARCHAR AS id FROM customer
+    WHERE c_custkey % 10 = 0"""
 ORACLE["c_cdc_stream"] = _NEWEST_CHANGES
 
 _STORE = """SELECT order_id || '_' || ts AS rowkey, '075' AS city_code, driver_id, order_id, ts AS "timestamp",
@@ -671,6 +681,18 @@ ORACLE["g_track_history"] = _with(
         AND ts BETWEEN {catalog.TRACK_BOUNDS[0]} AND {catalog.TRACK_BOUNDS[1]}""",
     "gps",
 )
+ORACLE["g_order_history"] = _with(
+    """SELECT p.order_id, p.ts, p.lng, p.lat FROM gps p JOIN (
+           SELECT order_id, min(ts) AS first, max(ts) AS last FROM gps WHERE NOT is_end GROUP BY 1
+       ) s USING (order_id) WHERE NOT p.is_end AND p.ts BETWEEN s.first AND s.last""",
+    "gps",
+)
+ORACLE["g_feed_requests"] = _with(
+    """SELECT r.id || '_20240115' AS order_id, g.seq, CASE WHEN g.seq IS NULL THEN 'none' WHEN g.is_end THEN 'end'
+              ELSE g.lng || ',' || g.lat END AS message
+       FROM riders r LEFT JOIN gps g ON g.order_id = r.id || '_20240115'""",
+    "riders", "gps",
+)
 _IN_BOUNDS = f"time >= '{catalog.POINT_BOUNDS[0]}' AND time <= '{catalog.POINT_BOUNDS[1]}' AND city_code = '075'"
 ORACLE["g_points_query"] = _with(f"SELECT * EXCLUDE (city_code) FROM ({_STORE}) WHERE {_IN_BOUNDS}", "gps")
 ORACLE["g_points_brief"] = _with(f"SELECT time, lng, lat FROM ({_STORE}) WHERE {_IN_BOUNDS}", "gps")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.sources.tables import column_types, to_type
+from hailstat.sources.tables import column_types, finite, to_type
 
 # Source tables of the change log. Trip tables are sharded by month, so their
 # names only start with the given text.
@@ -47,6 +47,8 @@ ORDER_LINE_HEADER = "dwv_order_make_haikou"
 # City of the GPS feed and the mark of a finished trip.
 GPS_CITY = "075"
 END_MARK = "end"
+# The last second of the year 9999; later ones are no times.
+LAST_SECOND = 253402300799
 
 
 def route_of(table: Column) -> Column:
@@ -134,12 +136,17 @@ def _part(position: int) -> Column:
 
 def _numbers() -> dict[str, Column]:
     return {
-        "ts": _part(2).try_cast("bigint"),
-        "lng": _part(3).try_cast("double"),
-        "lat": _part(4).try_cast("double"),
+        "ts": F.when(_part(2).try_cast("bigint").between(0, LAST_SECOND), _part(2).try_cast("bigint")),
+        "lng": _degrees(_part(3), 180),
+        "lat": _degrees(_part(4), 90),
     }
 
 
+def _degrees(text: Column, most: int) -> Column:
+    """A coordinate; null beyond ``most`` degrees, where not finite or malformed."""
+    return F.when(F.abs(finite(text)) <= most, finite(text))
+
+
 def _is_position() -> Column:
     ts, lng, lat = _numbers().values()
     return ts.isNotNull() & lng.isNotNull() & lat.isNotNull()
@@ -188,9 +195,14 @@ def rejected_gps(lines: DataFrame) -> DataFrame:
 
 def parse_order_lines(lines: DataFrame) -> DataFrame:
     """City order lines as named text columns; other lengths and header lines are left out."""
-    parts = F.split("value", "\t")
-    rows = lines.where((F.size(parts) == len(ORDER_LINE_FIELDS)) & ~F.col("value").contains(ORDER_LINE_HEADER))
-    return rows.select(*[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(ORDER_LINE_FIELDS)])
+    valid = (F.size("p") == len(ORDER_LINE_FIELDS)) & ~F.col("value").contains(ORDER_LINE_HEADER)
+    fields = [_part(i).alias(c) for i, c in enumerate(ORDER_LINE_FIELDS)]
+    return _where_valid(lines.withColumn("p", F.split("value", "\t")), valid, *fields)
+
+
+def rejected_order_lines(lines: DataFrame) -> DataFrame:
+    """Lines that are neither a city order nor a header."""
+    return lines.where((F.size(F.split("value", "\t")) != len(ORDER_LINE_FIELDS)) & ~F.col("value").contains(ORDER_LINE_HEADER))
 
 
 def order_line_key(order_id: Column, departure_time: Column) -> Column:
@@ -203,6 +215,6 @@ def read_station_input(orders: DataFrame) -> DataFrame:
     return orders.select(
         "order_id",
         "city_id",
-        F.col("starting_lng").try_cast("double").alias("starting_lng"),
-        F.col("starting_lat").try_cast("double").alias("starting_lat"),
+        _degrees(F.col("starting_lng"), 180).alias("starting_lng"),
+        _degrees(F.col("starting_lat"), 90).alias("starting_lat"),
     )

@@ -184,7 +184,8 @@ def as_change_lines(events: DataFrame) -> DataFrame:
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip changes, and one insert line per customer, supplier and part for the other tables.
 
-    Parts stand for alliances; regions of the world are a table that no route takes.
+    Parts stand for alliances; nations are a table that no route takes. Riders have a last login and
+    alliances an update in place of a creation; every tenth rider has no time at all.
     """
     def insert(name: str, table_name: str, seq: str, **fields: str) -> DataFrame:
         data = F.struct(*[F.expr(e).alias(c) for c, e in fields.items()])
@@ -193,9 +194,12 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (
         as_change_lines(table(spark, sf_dir, "events"))
-        .unionByName(insert("customer", "renter_info", "c_custkey", id_="c_custkey", city_name="c_name", last_login_city="''"))
-        .unionByName(insert("supplier", "driver_info", "s_suppkey", id_="s_suppkey", driver_name="s_name", cancel_count="s_nationkey"))
-        .unionByName(insert("part", "opt_alliance_business", "p_partkey", id_="p_partkey", alliance_name="p_name", state="p_size"))
+        .unionByName(insert("customer", "renter_info", "c_custkey", id_="c_custkey", city_name="c_name",
+                            last_login_city="''", last_logon_time="if(c_custkey % 10 = 0, null, '2024-01-02 03:04:05')"))
+        .unionByName(insert("supplier", "driver_info", "s_suppkey", id_="s_suppkey", driver_name="s_name", cancel_count="s_nationkey",
+                            create_time="'2024-02-03 04:05:06'"))
+        .unionByName(insert("part", "opt_alliance_business", "p_partkey", id_="p_partkey", alliance_name="p_name", state="p_size",
+                            update_time="'2024-03-04 05:06:07'"))
         .unionByName(insert("nation", "nation", "n_nationkey", id_="n_nationkey"))
     )
 

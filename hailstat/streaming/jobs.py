@@ -10,10 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from hailstat.operators import monitor, tracks
-from hailstat.operators.changes import NEWEST, keyed_changes
+from hailstat.operators.changes import NEWEST, keyed_changes, unkeyed_changes
 from hailstat.sources import lines as parse
 from hailstat.sources.tables import table_exists, upsert
 
@@ -35,25 +35,40 @@ def change_stream(lines: DataFrame, root: str, checkpoint: str, once: bool = Fal
     """Change-log lines (seq, value) into one table per route below ``root``, upserted by row key.
 
     A row key holds the creation time, so a table partitioned by creation day has every version of
-    a row in one partition, and a batch only rewrites the days it touches.
+    a row in one partition, and a batch only rewrites the days it touches. Lines of no table, and rows
+    that have no key, go to ``rejects`` below ``root`` under their reason and batch.
     """
+    def keep_rejects(rows: DataFrame, reason: str, batch_id: int) -> None:
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").parquet(
+            f"{root}/rejects/reason={reason}/batch={batch_id}"
+        )
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         routed = parse.with_route(batch).persist()
         try:
             # At most one value per route of the change log.
             present = {r["route"] for r in routed.select("route").distinct().collect()}
             for route in present & set(parse.CHANGE_FIELDS):
-                changes = keyed_changes(parse.parse_changes(routed, route))
-                upsert(batch.sparkSession, changes, f"{root}/{route}", ["row_key"], NEWEST, "create_day")
+                parsed = parse.parse_changes(routed, route)
+                upsert(batch.sparkSession, keyed_changes(parsed), f"{root}/{route}", ["row_key"], NEWEST, "create_day")
+                keep_rejects(unkeyed_changes(parsed), route, batch_id)
+            keep_rejects(routed.where(F.col("route").isNull()).drop("route"), "no-route", batch_id)
         finally:
             routed.unpersist()
 
     return start(lines, handle, checkpoint, once, "changes")
 
 
-def point_stream(lines: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """GPS lines into the point store, upserted by (order, second) within the day of the point."""
+def point_stream(
+    lines: DataFrame, path: str, checkpoint: str, once: bool = False, rejects: str | None = None
+) -> StreamingQuery:
+    """GPS lines into the point store, upserted by (order, second) within the day of the point.
+
+    Lines that are neither a point nor an end mark go to ``rejects``, one folder per batch.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if rejects:
+            parse.rejected_gps(batch).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         points = parse.parse_gps_points(batch).withColumn("day", F.to_date(F.timestamp_seconds("ts")))
         upsert(batch.sparkSession, points, path, ["order_id", "ts"], ["seq"], "day")
 
@@ -75,10 +90,10 @@ def state_stream(lines: DataFrame, path: str, checkpoint: str, once: bool = Fals
 
 STATE_SCHEMA = (
     "order_id string, "
-    "start struct<ts: bigint, seq: bigint, lng: double, lat: double>, "
-    "finish struct<ts: bigint, back: bigint, lng: double, lat: double>, "
-    "first_seen struct<seq: bigint, ts: bigint>, "
-    "last_seen struct<seq: bigint, is_end: boolean, lng: double, lat: double>"
+    "start struct<ts: bigint, seq: decimal(38,0), lng: double, lat: double>, "
+    "finish struct<ts: bigint, back: decimal(38,0), lng: double, lat: double>, "
+    "first_seen struct<seq: decimal(38,0), ts: bigint>, "
+    "last_seen struct<seq: decimal(38,0), is_end: boolean, lng: double, lat: double>"
 )
 
 
@@ -104,8 +119,35 @@ def compact_states(spark: SparkSession, path: str, batches: list[int]) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report of all queries of a session below ``path``, one small file each.
+
+    Add it with ``spark.streams.addListener``; unlike ``recentProgress`` nothing is dropped.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.spark.createDataFrame([(event.progress.json,)], "value string").coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """All reports that a ``ProgressLog`` kept, as lines."""
+    return spark.read.schema("value string").parquet(path)
+
+
 def progress_lines(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The recent progress reports that a query keeps (a hundred by default), as lines."""
+    """The recent progress reports that a query keeps (a hundred by default), as lines; see ``ProgressLog`` for all."""
     return spark.createDataFrame([(p.json,) for p in query.recentProgress], "value string")
 
 

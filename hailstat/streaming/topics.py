@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 # Topic of the change log and pattern of the GPS topics.
 CHANGE_TOPIC = "veche"
 GPS_TOPICS = "(.*)gps_topic"
-# Arrival order of a Kafka record: its millisecond, then its offset within 20 bits.
-OFFSET_BITS = 20
+# Type of the arrival order: a record's millisecond (13 digits), partition (5) and offset (19). Two records never
+# share one, and within a partition and millisecond the offset decides. Topics should keep the broker's time
+# (``message.timestamp.type=LogAppendTime``); with the producer's, its clock orders the records.
+ARRIVAL = "decimal(38,0)"
 
 
 def read_topics(
@@ -37,10 +39,14 @@ def read_topics(
 
 def from_kafka(records: DataFrame) -> DataFrame:
     """Kafka's columns as topic, seq, value."""
-    within = F.col("offset") % (1 << OFFSET_BITS)
+    digits = F.concat(
+        F.unix_millis("timestamp").cast("string"),
+        F.lpad(F.col("partition").cast("string"), 5, "0"),
+        F.lpad(F.col("offset").cast("string"), 19, "0"),
+    )
     return records.select(
         "topic",
-        (F.unix_millis("timestamp") * (1 << OFFSET_BITS) + within).alias("seq"),
+        digits.cast(ARRIVAL).alias("seq"),
         F.col("value").cast("string").alias("value"),
     )
 

@@ -162,8 +162,9 @@ def in_polygon(point, ring):
     return inside
 
 
-@pytest.mark.parametrize("limit", [stations.BROADCAST_BYTES, 0])
-def test_district_join_against_brute_force(spark, limit):
+@pytest.mark.parametrize("join", [stations.with_district, stations.with_broadcast_districts])
+@pytest.mark.parametrize("tile", [0.1, 0.03])
+def test_district_join_against_brute_force(spark, join, tile):
     shapes = {
         "box": [(110.1, 19.9), (110.3, 19.9), (110.3, 20.1), (110.1, 20.1)],
         "arrow": [(110.25, 19.95), (110.65, 19.85), (110.4, 20.0), (110.6, 20.15)],
@@ -173,7 +174,7 @@ def test_district_join_against_brute_force(spark, limit):
               for i in range(500)]
     expected = {(p[0], n) for p in points for n, ring in shapes.items() if in_polygon(p[2:], ring)}
     edges = stations.district_edges(spark.createDataFrame(polygons, "citycode string, name string, polygon string"))
-    joined = stations.with_district(spark.createDataFrame(points, ORDERS), edges, limit=limit)
+    joined = join(spark.createDataFrame(points, ORDERS), edges, tile)
     assert {(r["order_id"], r["district_name"]) for r in joined.collect()} == expected and expected
 
 
@@ -182,19 +183,60 @@ def test_holes_and_parts_of_a_geojson(spark):
         return [[x, y], [x + a, y], [x + a, y + a], [x, y + a], [x, y]]
 
     document = {"type": "FeatureCollection", "features": [{
-        "type": "Feature", "properties": {"name": "D"},
+        "type": "Feature", "properties": {"name": "D", "citycode": "7"},
         "geometry": {"type": "MultiPolygon",
                      "coordinates": [[square(0, 0, 4), square(1, 1, 2)], [square(10, 0, 1)]]},
     }]}
     rings = stations.parse_geojson(spark.createDataFrame([(json.dumps(document),)], "value string"))
     assert rings.count() == 3
-    edges = stations.rings_to_edges(rings.withColumn("citycode", F.lit("1")))
+    assert {r["citycode"] for r in rings.collect()} == {"7"}
+    edges = stations.rings_to_edges(rings)
     points = spark.createDataFrame(
         [("ring", "1", 0.5, 0.5), ("hole", "1", 2.1, 2.1), ("part", "1", 10.5, 0.5), ("out", "1", 6.1, 0.5)], ORDERS
     )
     assert {r["order_id"] for r in stations.with_district(points, edges, tile=1.0).collect()} == {"ring", "part"}
 
 
+def test_polygon_feature_and_bad_vertex(spark):
+    document = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"name": "P"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1]]]}},
+        {"type": "Feature", "properties": {"name": "X"}, "geometry": {"type": "Point", "coordinates": [0, 0]}},
+    ]}
+    rings = stations.parse_geojson(spark.createDataFrame([(json.dumps(document),)], "value string")).collect()
+    assert [(r["district_name"], r["citycode"], len(r["ring"])) for r in rings] == [("P", None, 3)]
+    shapes = spark.createDataFrame(
+        [("1", "bad", "0,0;4,0;bad;4,4"), ("1", "nan", "0,0;4,0;NaN,1"), ("1", "good", "0,0;4,0;4,4"), ("1", "blank", "")],
+        "citycode string, name string, polygon string",
+    )
+    assert {r["district_name"] for r in stations.district_edges(shapes).collect()} == {"good"}
+    assert {r["name"] for r in stations.rejected_districts(shapes).collect()} == {"bad", "nan"}
+
+
+def test_broadcast_is_refused_beyond_its_bound(spark):
+    edges = stations.district_edges(spark.createDataFrame([("1", "a", "0,0;4,0;4,4")], "citycode string, name string, polygon string"))
+    with pytest.raises(ValueError):
+        stations.with_broadcast_districts(spark.createDataFrame([("x", "1", 1.0, 1.0)], ORDERS), edges, limit=2)
+
+
+def test_numbers_beyond_any_place_or_time_are_rejected(spark):
+    bad = ["d,o,9000000000000000000,110.1,19.9", "d,o,-5,110.1,19.9", "d,o,1,NaN,19.9", "d,o,1,110.1,Infinity", "d,o,1,181,19.9", "d,o,1,110,1e400"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*bad, "d,o,1,110.1,19.9"])], "seq bigint, value string")
+    assert [r["seq"] for r in lines.parse_gps_points(df).collect()] == [len(bad)]
+    assert {r["seq"] for r in lines.rejected_gps(df).collect()} == set(range(len(bad)))
+
+
+def test_changes_without_a_creation_time(spark):
+    from hailstat.operators import changes
+
+    rows = spark.createDataFrame(
+        [("insert", "1", "2024-01-01 00:00:00", None), ("update", "2", None, "2024-01-02 00:00:00"), ("insert", "3", None, None),
+         ("insert", None, "2024-01-01 00:00:00", None), ("delete", "5", None, None)],
+        "type string, id string, create_time string, last_logon_time string",
+    ).selectExpr("type", "id", "timestamp(create_time) create_time", "timestamp(last_logon_time) last_logon_time")
+    assert {r["id"]: str(r["create_day"]) for r in changes.keyed_changes(rows).collect()} == {"1": "2024-01-01", "2": "2024-01-02"}
+    assert {r["id"] for r in changes.unkeyed_changes(rows).collect()} == {"3", None}
+
+
 def test_nested_district_documents(spark):
     document = {"districts": [{"name": "C", "citycode": "1", "level": "city", "districts": [
         {"name": "a", "citycode": "1", "polyline": "1,1;2,2", "level": "district"},

@@ -202,16 +202,13 @@ def test_hot_order_forms_agree(rows):
     assert as_list(hotareas.hot_order_report(df, NOW, BEFORE)) == as_list(joined)
 
 
-def test_hot_detail_splits_a_crowded_area(rows):
-    cells = rows([("A", f"c{i}", 1200, 1) for i in range(50)] + [("B", "c0", 1200, 4), (None, "n", 1200, 2)],
+def test_hot_detail_of_a_crowded_area(rows):
+    cells = rows([("A", f"c{i}", 1200, 1) for i in range(5000)] + [("B", "c0", 1200, 4), (None, "n", 1200, 2)],
                  "city_code string, coordinate string, radius int, count bigint")
-    whole = hotareas.hot_detail(cells)
-    assert {(r["city_code"], r["part"], r["city_num"], len(r["hot_cells"])) for r in whole.collect()} == {
-        ("A", 0, 50, 50), ("B", 0, 4, 1), (None, 0, 2, 1),
-    }
-    parts = hotareas.hot_detail(cells, cells_per_row=10).where("city_code = 'A'").collect()
-    assert len(parts) > 1 and sum(len(r["hot_cells"]) for r in parts) == 50
-    assert {r["city_num"] for r in parts} == {50}
+    found = hotareas.hot_detail(cells).collect()
+    assert {(r["city_code"], r["city_num"]) for r in found if r["coordinate"] is None} == {("A", 5000), ("B", 4), (None, 2)}
+    assert len(found) == 5002 + 3 and sum(r["count"] or 0 for r in found) == 5006
+    assert all(r["city_num"] is None for r in found if r["coordinate"])
 
 
 def test_heat_map_takes_the_latest_area(rows):

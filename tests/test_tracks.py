@@ -1,7 +1,9 @@
 """Live state, in batch and as a stream, and job metrics."""
 
 import json
+import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -192,10 +194,29 @@ def test_continuous_run(spark, tmp_path):
 
 
 def test_kafka_columns(spark):
-    records = spark.createDataFrame([("gps_topic", 7, 1)], "topic string, offset bigint, ms bigint").select(
-        "topic", "offset", F.timestamp_millis("ms").alias("timestamp"), F.lit(b"line").alias("value")
+    sent = [(0, 1048575, 1700000000000), (0, 1048576, 1700000000000), (1, 1048576, 1700000000000), (0, 3, 1700000000001)]
+    records = spark.createDataFrame(sent, "partition int, offset bigint, ms bigint").select(
+        F.lit("gps_topic").alias("topic"), "partition", "offset", F.timestamp_millis("ms").alias("timestamp"), F.lit(b"line").alias("value")
     )
-    assert as_set(topics.from_kafka(records)) == {("gps_topic", (1 << 20) + 7, "line")}
+    seqs = [r["seq"] for r in topics.from_kafka(records).collect()]
+    assert seqs == sorted(set(seqs))
+
+
+def test_progress_log_keeps_every_report(spark, tmp_path):
+    source, out = str(tmp_path / "source"), str(tmp_path / "progress")
+    spark.range(3).selectExpr("id seq", "'x' value").repartition(3).write.parquet(source)
+    log = jobs.ProgressLog(spark, out)
+    spark.streams.addListener(log)
+    try:
+        stream = topics.read_files(spark, source, "seq bigint, value string", max_files=1)
+        query = jobs.start(stream, lambda batch, batch_id: batch.count(), str(tmp_path / "check"), once=True, name="kept")
+        query.awaitTermination()
+        deadline = time.time() + 30
+        while time.time() < deadline and (not os.path.exists(out) or jobs.read_progress(spark, out).count() < 3):
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(log)
+    assert jobs.read_progress(spark, out).where("value like '%\"name\" : \"kept\"%' or value like '%\"name\":\"kept\"%'").count() >= 3
 
 
 SNAPSHOT = (
