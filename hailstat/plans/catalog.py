@@ -603,8 +603,7 @@ def _c_cdc_stream(spark, sf_dir):
     folder = shared_folder(spark, "changes")
     stream = sample.as_change_lines(_event_stream(spark, sf_dir))
     jobs.change_stream(stream, f"{folder}/tables", f"{folder}/checkpoint", once=True).awaitTermination()
-    schema = changes.keyed_changes(_order_changes(spark, sf_dir)).schema
-    return _change_columns(spark.read.schema(schema).parquet(f"{folder}/tables/{lines.ORDER_TABLE}"))
+    return _change_columns(jobs.read_changes(spark, f"{folder}/tables", lines.ORDER_TABLE))
 
 
 def _gps(spark, sf_dir):
@@ -620,10 +619,10 @@ query("g_point_store")(_point_store)
 
 @query("g_stream")
 def _g_stream(spark, sf_dir):
-    """Order spans from the states that the GPS stream wrote."""
+    """Order spans from the states that the one GPS consumer wrote beside points, orders and rejects."""
     folder = shared_folder(spark, "gps")
     stream = sample.as_gps_lines(_event_stream(spark, sf_dir))
-    jobs.state_stream(stream, f"{folder}/states", f"{folder}/state-checkpoint", once=True).awaitTermination()
+    jobs.gps_stream(stream, folder, f"{folder}/checkpoint", once=True).awaitTermination()
     return tracks.span_of(jobs.read_states(spark, f"{folder}/states"))
 
 
@@ -633,8 +632,7 @@ def _g_stream_points(spark, sf_dir):
     folder = shared_folder(spark, "points")
     stream = sample.as_gps_lines(_event_stream(spark, sf_dir))
     jobs.point_stream(stream, f"{folder}/points", f"{folder}/point-checkpoint", once=True).awaitTermination()
-    schema = "seq bigint, driver_id string, order_id string, ts bigint, lng double, lat double, day date"
-    return tracks.point_store(spark.read.schema(schema).parquet(f"{folder}/points"))
+    return tracks.point_store(jobs.read_points(spark, f"{folder}/points"))
 
 
 query("g_live_orders")(lambda s, d: tracks.live_orders(_gps(s, d)))

@@ -146,17 +146,39 @@ def test_stream_equals_batch_in_any_file_order(spark, tmp_path):
     assert sum(r["records"] for r in report) == len(data) and max(r["finished_batches"] for r in report) == 5
 
     before = as_set(live)
-    jobs.compact_states(spark, states, [0, 1, 2])
+    jobs.compact_states(spark, states, ["0", "1", "2"], "to-2")
     assert as_set(jobs.read_states(spark, states)) == before
-    jobs.compact_states(spark, states, [3, 4])
+    jobs.drop_folders(spark, states, ["0", "1", "2"])
+    assert as_set(jobs.read_states(spark, states)) == before
+    jobs.compact_states(spark, states, ["to-2", "3", "4"], "to-4")
+    jobs.drop_folders(spark, states, ["to-2", "3", "4"])
     assert as_set(jobs.read_states(spark, states)) == before
 
     points = str(tmp_path / "points")
     jobs.point_stream(stream(), points, str(tmp_path / "c2"), once=True).awaitTermination()
-    schema = "seq bigint, driver_id string, order_id string, ts bigint, lng double, lat double, day date"
-    stored = tracks.point_store(spark.read.schema(schema).parquet(points))
+    stored = tracks.point_store(jobs.read_points(spark, points))
     assert as_set(stored) == as_set(tracks.point_store(lines.parse_gps_points(batch)))
-    assert stored.count() == spark.read.schema(schema).parquet(points).count()
+
+
+def test_one_consumer_writes_all_and_survives_a_half_written_batch(spark, tmp_path):
+    order = "\t".join(["o9", *["x"] * 11, "2024-01-01 00:00:00", *["x"] * 11])
+    data = [*_random_lines(4), (700, "d,o,9000000000000000000,110.1,19.9"), (701, "junk"), (702, order), (703, order), (704, "a\tb")]
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for chunk in (data[:300], data[300:]):
+        spark.createDataFrame(chunk, "seq bigint, value string").coalesce(1).write.mode("append").parquet(source)
+    # A batch that was cut off while it was written: another table's folder is there, its own is stale.
+    spark.createDataFrame(data[:10], "seq bigint, value string").select("seq", "value").write.parquet(f"{root}/rejects/batch=0")
+    stream = topics.read_files(spark, source, "seq bigint, value string", max_files=1)
+    jobs.gps_stream(stream, root, str(tmp_path / "check"), once=True).awaitTermination()
+    whole = spark.createDataFrame(data, "seq bigint, value string")
+    assert as_set(tracks.span_of(jobs.read_states(spark, f"{root}/states"))) == as_set(
+        tracks.order_span(lines.parse_gps_events(whole.where("seq < 700")))
+    )
+    assert as_set(tracks.point_store(jobs.read_points(spark, f"{root}/points"))) == as_set(
+        tracks.point_store(lines.parse_gps_points(whole.where("seq < 700")))
+    )
+    assert {r["seq"] for r in spark.read.parquet(f"{root}/rejects").collect()} == {700, 701, 704}
+    assert [(r["row_key"], r["seq"]) for r in jobs.read_order_lines(spark, f"{root}/orders").collect()] == [("o9_20240101000000", 703)]
 
 
 def test_change_stream_restarts_from_its_checkpoint(spark, tmp_path):
@@ -171,7 +193,7 @@ def test_change_stream_restarts_from_its_checkpoint(spark, tmp_path):
         spark.createDataFrame(data, "seq bigint, value string").coalesce(1).write.mode("append").parquet(source)
         stream = topics.read_files(spark, source, "seq bigint, value string")
         jobs.change_stream(stream, root, checkpoint, once=True).awaitTermination()
-        stored = spark.read.parquet(f"{root}/order_info")
+        stored = jobs.read_changes(spark, root, "order_info")
         return {(r["id"], r["pay_all"]) for r in stored.collect()}
 
     assert deliver(change("1", 1, 1.0), change("2", 5, 2.0), first=0) == {("1", 1.0), ("2", 2.0)}
