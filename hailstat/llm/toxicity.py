@@ -38,7 +38,7 @@ REACH = 5
 KNOWN = 300_000
 
 PRIOR = (-3.0, 1.0, 0.3, 0.8)  # of the intercept and of used, quoted and misspelled strength
-FUZZY_STRENGTH = 3.0
+COMMON = 0.05  # of the toxic texts must hold a term before its misspellings are looked for
 
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = "\"'“”„«»‘’`"
@@ -91,6 +91,7 @@ class Model:
     words: dict[str, float]
     beginnings: dict[str, float]
     weights: tuple[float, ...] = PRIOR
+    fuzzy: frozenset[str] = frozenset()  # common words, whose misspellings count
     proper: frozenset[str] = frozenset()  # near a term, but a word of its own
 
     def matcher(self) -> Matcher:
@@ -102,11 +103,12 @@ class Matcher:
 
     def __init__(self, model: Model):
         self.model = model
-        fuzzy = [w for w, s in model.words.items() if len(w) >= FUZZY_LENGTH and s >= FUZZY_STRENGTH]
+        fuzzy = [w for w in model.words if w in model.fuzzy and len(w) >= FUZZY_LENGTH]
         self.trie = Trie(fuzzy)
-        # One edit leaves the first or the last half of a term as it is.
-        self.heads = {w[: len(w) // 2] for w in fuzzy}
-        self.tails = {w[len(w) // 2 :][1:] if len(w) > 5 else w[len(w) // 2 :] for w in fuzzy}
+        # One edit leaves the first or the last half of a term as it is, and its length but for one.
+        self.heads = {(len(w) + k, w[: len(w) // 2]) for w in fuzzy for k in (-1, 0, 1)}
+        self.tails = {(len(w) + k, w[len(w) // 2 :]) for w in fuzzy for k in (-1, 0, 1)}
+        self.halves = sorted({len(h) for _, h in self.heads | self.tails})
         self.known: dict[str, tuple | None] = {}
 
     def term(self, word: str) -> tuple[str, float, bool] | None:
@@ -131,7 +133,8 @@ class Matcher:
         return found
 
     def _may_be_near(self, word: str) -> bool:
-        return any(word[:n] in self.heads for n in (2, 3, 4, 5, 6)) or any(word[-n:] in self.tails for n in (2, 3, 4, 5, 6))
+        n = len(word)
+        return any((n, word[:k]) in self.heads or (n, word[-k:]) in self.tails for k in self.halves)
 
     def strengths(self, text: str) -> tuple[float, float, float]:
         """Sums over distinct terms that are used, quoted and misspelled."""
@@ -251,13 +254,13 @@ def _strengths(model: Model):
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``labels(doc_id, toxic)``; labels other than 0 and 1 count for nothing, 1 wins over 0.
 
-    At most ``sample`` labelled rows are read, those with the smallest hash of doc_id. Without a toxic and
+    At most ``sample`` labelled rows are read, those with the smallest hash of doc_id; equal texts count once. Without a toxic and
     a clean text among them the lexicon is empty and every score is low.
     """
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     labels = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     drawn = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most 12 bytes a row
-    rows = documents(docs).join(F.broadcast(drawn), "doc_id").select("text", "toxic").persist()
+    rows = documents(docs).join(F.broadcast(drawn), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic")).persist()
     try:
         totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         if len(totals) < 2:
@@ -269,7 +272,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         ratio = 2 * (F.col("a") * F.log(part / share) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - part) / (1 - share))).otherwise(0))
         terms = counts.where((F.col("a") > 0) & (part >= max(PRECISE, share))).withColumn("ratio", ratio).where(F.col("ratio") >= SIGNIFICANT)
         terms = terms.orderBy(F.desc("ratio"), "term").limit(TERMS).select("term", "a", "b")
-        model = Model(*choose([tuple(r) for r in terms.collect()]))
+        chosen = [tuple(r) for r in terms.collect()]
+        model = Model(*choose(chosen), fuzzy=frozenset(t for t, a, _ in chosen if a >= COMMON * totals[1]))
         proper = rows.where("toxic = 0").mapInArrow(_near_words(model), "word string").distinct()
         model.proper = frozenset(r[0] for r in proper.collect())  # neighbours of at most TERMS terms
         cells = rows.mapInArrow(_strengths(model), "used double, quoted double, misspelled double, toxic long, n long")

@@ -155,7 +155,7 @@ def test_automaton_finds_what_edit_distance_finds():
 
     words = ["idiot", "moron", "pathetic", "trash", "thrash"]
     trie = toxicity.Trie(words)
-    matcher = toxicity.Model({w: 5.0 for w in words}, {}).matcher()
+    matcher = toxicity.Model({w: 5.0 for w in words}, {}, fuzzy=frozenset(words)).matcher()
     for text in ["idiot", "idot", "idiiot", "ideot", "trsh", "thash", "patetic", "moran", "xyz", "", "diot", "mor", "morons", "pathetik"]:
         near = {(distance(text, w), w) for w in words if distance(text, w) <= 1}
         assert set(trie.near(text, 1)) == near
@@ -163,7 +163,7 @@ def test_automaton_finds_what_edit_distance_finds():
 
 
 def test_quotation_and_use_are_kinds_of_their_own():
-    matcher = toxicity.Model({"idiot": 5.0}, {"scum": 3.0}).matcher()
+    matcher = toxicity.Model({"idiot": 5.0}, {"scum": 3.0}, fuzzy=frozenset(["idiot"])).matcher()
     assert matcher.strengths("you idiot, a scumbag") == (8.0, 0.0, 0.0)
     assert matcher.strengths('he said "idiot" there') == (0.0, 5.0, 0.0)
     assert matcher.strengths("such an idoit idiott") == (0.0, 0.0, 5.0)
