@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailstat.functions.text import NO_RATE, rate_text
-from hailstat.periods import GRAINS, Period
+from hailstat.periods import GRAINS, Period, in_period
 
 CITY = ("city_name",)
 DRIVER = ("driver_id", "driver_name")
@@ -21,13 +21,13 @@ def is_effective() -> Column:
 
 def effective_trips(trips: DataFrame, keys: Sequence[str], period: Period, grain: str) -> DataFrame:
     """Trips of the period that were not cancelled, per key."""
-    kept = trips.where(period.within(grain, F.col("create_time")) & is_effective())
+    kept = in_period(trips, period, grain).where(is_effective())
     return kept.groupBy(*keys).agg(F.count("*").alias("effective_num"))
 
 
 def total_trips(trips: DataFrame, keys: Sequence[str], period: Period, grain: str) -> DataFrame:
     """All trips of the period, per key."""
-    kept = trips.where(period.within(grain, F.col("create_time")))
+    kept = in_period(trips, period, grain)
     return kept.groupBy(*keys).agg(F.count("*").alias("total_num"))
 
 
@@ -37,7 +37,7 @@ def completion(trips: DataFrame, keys: Sequence[str], period: Period, grain: str
     One pass over the trips. A null key has effective trips of its own but no total to compare
     them with, so its total and rate are null.
     """
-    kept = trips.where(period.within(grain, F.col("create_time")))
+    kept = in_period(trips, period, grain)
     counts = kept.groupBy(*keys).agg(
         F.count_if(is_effective()).alias("effective_num"), F.count("*").alias("total_num")
     )
@@ -62,7 +62,7 @@ def completion_summary(trips: DataFrame, keys: Sequence[str], period: Period, ro
         inside = period.within(grain, time)
         counts.append(F.count_if(inside & is_effective()).alias(f"eff_{grain}"))
         counts.append(F.count_if(inside).alias(f"tot_{grain}"))
-    grouped = trips.where(period.within_any(time)).groupBy(*keys).agg(*counts)
+    grouped = in_period(trips, period).groupBy(*keys).agg(*counts)
     known = F.col(keys[0]).isNotNull()
     return grouped.where(F.col("eff_year") > 0).select(
         row_key.cast("string").alias("rk"),

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.periods import GRAINS, Period
+from hailstat.periods import GRAINS, Period, in_period
 
 
 def registrations(drivers: DataFrame, period: Period, grain: str) -> DataFrame:
     """Distinct drivers registered in the period, per city."""
-    kept = drivers.where(period.within(grain, F.col("create_time")))
+    kept = in_period(drivers, period, grain)
     return kept.groupBy("register_city").agg(F.count_distinct("id").alias(f"_register_{grain}_num"))
 
 
@@ -22,7 +22,7 @@ def registration_summary(drivers: DataFrame, period: Period) -> DataFrame:
     """
     time = F.col("create_time")
     per_driver = (
-        drivers.where(period.within_any(time))
+        in_period(drivers, period)
         .groupBy("register_city", "id")
         .agg(*[F.bool_or(period.within(g, time)).alias(f"in_{g}") for g in GRAINS])
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hailstat.functions.text import NO_RATE, city_code, city_prefix, share_text
-from hailstat.periods import Period, between
+from hailstat.periods import Period, between, in_period
 
 CITY = "last_login_city"
 
@@ -25,7 +25,7 @@ def total(riders: DataFrame) -> DataFrame:
 
 def new_by_city(riders: DataFrame, period: Period) -> DataFrame:
     """Riders registered on the day, per city of the last login."""
-    kept = riders.where(period.within("day", F.col("create_time")) & (F.col(CITY) != ""))
+    kept = in_period(riders, period, "day").where(F.col(CITY) != "")
     return kept.groupBy(city_prefix(F.col(CITY)).alias(CITY)).agg(F.count("*").alias("_day_new_user"))
 
 
@@ -57,14 +57,14 @@ def new_active_by_city(riders: DataFrame, period: Period) -> DataFrame:
 
 
 def new_riders(riders: DataFrame, period: Period, grain: str) -> DataFrame:
-    kept = riders.where(period.within(grain, F.col("create_time")))
+    kept = in_period(riders, period, grain)
     return kept.agg(F.count("*").alias(f"{grain}NewUserCount"))
 
 
 def new_summary(riders: DataFrame, period: Period) -> DataFrame:
     time = F.col("create_time")
     grains = ("month", "week", "day")
-    row = riders.where(period.within_any(time, grains)).agg(
+    row = in_period(riders, period, grains).agg(
         *[F.count_if(period.within(g, time)).alias(g) for g in grains]
     )
     return row.select(

@@ -13,7 +13,7 @@ from hailstat.functions.text import (
     count_text,
 )
 from hailstat.functions.times import day_span
-from hailstat.periods import Period
+from hailstat.periods import Period, in_period
 
 AREA = "begin_address_code"
 
@@ -25,7 +25,7 @@ def _per_vehicle(trips: DataFrame, period: Period, grains: tuple[str, ...]) -> D
     city with a large share of all trips is spread over its vehicles.
     """
     time = F.col("create_time")
-    kept = trips.where(period.within_any(time, grains))
+    kept = in_period(trips, period, grains)
     return kept.groupBy(city_prefix(F.col(AREA)).alias(AREA), "vehicle_license").agg(
         *[F.count_if(period.within(grain, time)).alias(f"in_{grain}") for grain in grains]
     )
@@ -33,7 +33,7 @@ def _per_vehicle(trips: DataFrame, period: Period, grains: tuple[str, ...]) -> D
 
 def vehicles(trips: DataFrame, period: Period, grain: str) -> DataFrame:
     """Distinct vehicles per city prefix."""
-    kept = trips.where(period.within(grain, F.col("create_time")))
+    kept = in_period(trips, period, grain)
     return kept.groupBy(city_prefix(F.col(AREA)).alias(AREA)).agg(
         F.count_distinct("vehicle_license").alias(f"{grain}VehicleCount")
     )
@@ -55,7 +55,7 @@ def vehicle_counts(trips: DataFrame, period: Period) -> DataFrame:
 
 def trip_count(trips: DataFrame, period: Period, grain: str) -> DataFrame:
     """Trips per city prefix."""
-    kept = trips.where(period.within(grain, F.col("create_time")))
+    kept = in_period(trips, period, grain)
     return kept.groupBy(city_prefix(F.col(AREA)).alias(AREA)).agg(F.count("*").alias(f"{grain}OrderCount"))
 
 
@@ -64,7 +64,7 @@ def trip_counts(trips: DataFrame, period: Period) -> DataFrame:
     time = F.col("create_time")
     grains = ("month", "week", "day")
     grouped = (
-        trips.where(period.within_any(time, grains))
+        in_period(trips, period, grains)
         .groupBy(city_prefix(F.col(AREA)).alias(AREA))
         .agg(*[F.count_if(period.within(g, time)).alias(f"{g}OrderCount") for g in grains])
     )
@@ -134,7 +134,7 @@ def total(trips: DataFrame) -> DataFrame:
 
 
 def month_total(trips: DataFrame, period: Period) -> DataFrame:
-    return trips.where(period.within("month", F.col("create_time"))).agg(F.count("*").alias("monthOrderNum"))
+    return in_period(trips, period, "month").agg(F.count("*").alias("monthOrderNum"))
 
 
 def mileage(trips: DataFrame) -> DataFrame:

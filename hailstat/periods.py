@@ -6,7 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -87,3 +87,17 @@ def between(time: Column, start: str | dt.date, end: str | dt.date) -> Column:
 def since(time: Column, day: str | dt.date) -> Column:
     """On or after ``day``."""
     return time >= midnight(day)
+
+
+DAY_COLUMN = "create_day"
+
+
+def in_period(rows: DataFrame, period: Period, grains: str | tuple[str, ...] = GRAINS) -> DataFrame:
+    """Rows created in the period at one of the grains.
+
+    A stored table is partitioned by the day of creation (``create_day``); the same condition on that day
+    lets the scan skip the partitions of other days, also for a week of any year, which is no range.
+    """
+    grains = (grains,) if isinstance(grains, str) else tuple(grains)
+    kept = rows.where(period.within_any(F.col("create_time"), grains))
+    return kept.where(period.within_any(F.col(DAY_COLUMN), grains)) if DAY_COLUMN in rows.columns else kept

@@ -1,9 +1,13 @@
 """Physical plans: what no query of the catalogue may contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from hailstat.operators import hotareas, tracks
+from hailstat.operators import completion, hotareas, tracks
+from hailstat.periods import GRAINS
+from hailstat.plans import catalog
 from hailstat.plans.catalog import QUERIES
+from hailstat.sources import sample
 
 SF_DIR = "/root/testdata/sf0.001"
 # These run jobs of their own to write tables before they return one.
@@ -38,3 +42,17 @@ def test_feed_is_range_partitioned(spark):
     )
     assert "rangepartitioning(order_id" in plan_of(tracks.track_feed(gps))
     assert "partial_min" in plan_of(tracks.order_span(gps))
+
+
+@pytest.mark.parametrize("grain", [*GRAINS, None])
+def test_stored_days_are_pruned(spark, tmp_path, grain):
+    path = str(tmp_path / "orders")
+    rows = sample.trips(spark, "/root/testdata/sf0.001", "id", "create_time", "city_name", "cancel").where("create_time >= '1998-05-01'")
+    rows.withColumn("create_day", F.to_date("create_time")).repartition(1).write.partitionBy("create_day").parquet(path)
+    stored, period = spark.read.parquet(path), catalog.TRIP_PERIOD
+    build = (lambda df: completion.city_summary(df, period)) if grain is None else (
+        lambda df: completion.total_trips(df, completion.CITY, period, grain))
+    pruned = build(stored)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert {tuple(r) for r in pruned.collect()} == {tuple(r) for r in build(stored.drop("create_day")).collect()}
