@@ -6,8 +6,10 @@
 3. Candidates are compared batch by batch of the signature. After each batch a pair is dropped if the
    posterior probability that its similarity reaches the threshold is below ``miss``.
 4. Survivors are verified on full shingle sets.
-5. Members of one bucket that the verified links leave in different components are paired as well and
-   go through 3 and 4, so no pair of a bucket stays undecided.
+5. Members of one bucket that the verified links leave in different components are compared as well, in
+   blocks of at most ``BLOCK`` members. First each member's best partner of a block is verified, which joins
+   most of a group whose smallest member is not in its middle; then, among those that are still apart, all
+   that passes 3 goes through 4: no pair of a bucket of different components stays undecided.
 
 Shingles are 64-bit hashes of their words. Hot groups: copies fold into one class before any pair is
 made; a large bucket yields one pair per member; joins on a hot class may be split by Spark.
@@ -34,7 +36,8 @@ BANDS = 32
 ROWS = 6
 HASHES = BANDS * ROWS
 BATCH = 32
-MISS = 1e-7
+MISS = 1e-5
+BLOCK = 512
 WIDTH = 2  # bytes of a min-hash that are kept
 
 
@@ -134,6 +137,75 @@ def _promising(threshold: float, miss: float):
     return promising
 
 
+def _agreeing(left: np.ndarray, right: np.ndarray, open_: np.ndarray, least: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of ``open_`` (rows of left, rows of right) that pass every batch's bound, and their equal hashes."""
+    pairs = np.argwhere(open_)
+    equal = np.zeros(len(pairs), np.int64)
+    for step, bound in enumerate(least):
+        part = slice(step * BATCH, (step + 1) * BATCH)
+        for at in range(0, len(pairs), 65_536):
+            some = slice(at, at + 65_536)
+            equal[some] += (left[pairs[some, 0], part] == right[pairs[some, 1], part]).sum(axis=1)
+        keep = equal >= bound
+        pairs, equal = pairs[keep], equal[keep]
+    return pairs, equal
+
+
+def _best(pairs: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """The pairs that are the best of one of their two rows."""
+    order = np.argsort(-equal, kind="stable")
+    firsts = [order[np.unique(pairs[order, side], return_index=True)[1]] for side in (0, 1)]
+    return np.unique(np.concatenate(firsts))
+
+
+def _first_common(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The first band in which the rows agree."""
+    same = (left == right).reshape(len(left), BANDS, ROWS).all(axis=2)
+    return same.argmax(axis=1)
+
+
+def _across(threshold: float, miss: float, best: bool):
+    """Promising pairs of different parts in each block pair, or the best of each row; rows arrive sorted by block."""
+    least = least_agreement(threshold, miss)
+
+    def settle(group: pa.Table) -> pa.RecordBatch:
+        ids, parts, own = (group.column(c).to_numpy() for c in ("doc_id", "part", "own"))
+        low, high, band = (group.column(c)[0].as_py() for c in ("low", "high", "number"))
+        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), f"<u{WIDTH}").reshape(-1, HASHES)
+        a, b = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        open_ = parts[a][:, None] != parts[b][None, :]
+        if low == high:
+            open_ &= ids[a][:, None] < ids[b][None, :]
+        pairs, equal = _agreeing(signs[a], signs[b], open_, least)
+        if best:
+            pairs = pairs[_best(pairs, equal)]
+        a, b = a[pairs[:, 0]], b[pairs[:, 1]]
+        mine = np.ones(len(a), bool)
+        if len(a) and not best:  # each pair in one bucket only
+            mine = _first_common(signs[a], signs[b]) == band
+        x, y = ids[a[mine]], ids[b[mine]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    def across(batches):
+        held: list[pa.Table] = []
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            keys = np.column_stack([rows.column(c).to_numpy() for c in ("band", "low", "high")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if held and i == 0 and [held[0].column(c)[0].as_py() for c in ("band", "low", "high")] != keys[0].tolist():
+                    yield settle(pa.concat_tables(held))
+                    held = []
+                held.append(rows.slice(i, j - i))
+                if j < len(keys):
+                    yield settle(pa.concat_tables(held))
+                    held = []
+        if held:
+            yield settle(pa.concat_tables(held))
+
+    return across
+
+
 def _full_sets(size: int):
     def full(batches):
         for ids, sets in _sets(batches, size):
@@ -144,7 +216,7 @@ def _full_sets(size: int):
 
 def _confirmed(percent: int):
     def confirmed(batches):
-        for batch in batches:
+        for batch in W.chunks(batches, column="set_a"):
             keep = []
             for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
                 left, right = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
@@ -166,41 +238,56 @@ class NearDuplicates:
         self.classes = filled.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("a"))
 
     def _bands(self, signed: DataFrame) -> DataFrame:
-        bytes_of_band = ROWS * WIDTH
-        keys = [F.xxhash64(F.lit(i), F.substring("signature", i * bytes_of_band + 1, bytes_of_band)) for i in range(BANDS)]
-        return signed.select("doc_id", F.explode(F.array(*keys)).alias("band"))
+        wide = ROWS * WIDTH
+        keys = [F.xxhash64(F.lit(i), F.substring("signature", i * wide + 1, wide)) for i in range(BANDS)]
+        return signed.select("doc_id", F.posexplode(F.array(*keys)).alias("number", "band"))
 
-    def _links(self, pairs: DataFrame, signed: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` whose full sets reach the similarity."""
+    def _compared(self, pairs: DataFrame, signed: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` that no batch of their signatures rules out."""
         side = {c: signed.select(F.col("doc_id").alias(c), F.col("signature").alias(f"sign_{c}")) for c in "ab"}
-        compared = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sign_a", "sign_b")
-        alive = stored(compared.mapInArrow(_promising(self.percent / 100, self.miss), "a long, b long"), "alive")
+        both = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sign_a", "sign_b")
+        return both.mapInArrow(_promising(self.percent / 100, self.miss), "a long, b long")
+
+    def _verified(self, alive: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose full sets reach the similarity."""
+        alive = stored(alive, "alive")
         used = alive.select(F.col("a").alias("doc_id")).unionAll(alive.select("b")).distinct()
-        sets = self.docs.join(used, "doc_id", "left_semi").mapInArrow(_full_sets(self.size), "doc_id long, members binary")
+        sets = self.docs.join(used.hint("merge"), "doc_id", "left_semi").mapInArrow(_full_sets(self.size), "doc_id long, members binary")
         sets = stored(sets.dropDuplicates(["doc_id"]), "sets")
         full = {c: sets.select(F.col("doc_id").alias(c), F.col("members").alias(f"set_{c}")) for c in "ab"}
         whole = alive.join(full["a"], "a").join(full["b"], "b").select("a", "b", "set_a", "set_b")
         return stored(whole.mapInArrow(_confirmed(self.percent), "a long, b long"), "confirmed")
 
+    def _across(self, crowded: DataFrame, links: DataFrame, signed: DataFrame, best: bool) -> DataFrame:
+        """Verified links between members of one bucket that ``links`` leave in different components."""
+        parts = components(links).withColumnRenamed("node", "doc_id")
+        placed = crowded.join(parts, "doc_id", "left").select(
+            "band", "number", "doc_id", F.coalesce("component", "doc_id").alias("part")
+        )
+        mixed = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("n")).where("p < q")
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        split = placed.join(mixed.select("band", blocks.alias("blocks")), "band").withColumn(
+            "own", F.pmod(F.hash("doc_id"), "blocks")
+        )
+        dealt = split.select(
+            "band", "number", "doc_id", "part", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        ).select("band", "number", "doc_id", "part", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        rows = dealt.join(signed, "doc_id").repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+        rows = rows.select("band", "low", "high", "number", "doc_id", "part", "own", "signature")
+        found = rows.mapInArrow(_across(self.percent / 100, self.miss, best), "a long, b long")
+        return self._verified(found.distinct())
+
     def links(self) -> DataFrame:
         """Verified links ``(a, b)`` between class representatives that span every component."""
         firsts = self.classes.select(F.col("a").alias("doc_id"))
         signed = stored(self.described.select("doc_id", "signature").join(firsts, "doc_id").dropDuplicates(["doc_id"]), "signed")
         bands = self._bands(signed)
         leaders = bands.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("band", "a")
-        crowded = stored(bands.join(leaders, "band").select("band", "a", F.col("doc_id").alias("b")), "buckets")
-        stars = crowded.where("a <> b").select("a", "b").distinct()
-        links = self._links(stars, signed)
-        parts = components(links)
-        placed = crowded.select("band", "b").join(parts.withColumnRenamed("node", "b"), "b", "left").select(
-            "band", "b", F.coalesce("component", "b").alias("part")
-        )
-        mixed = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("band")
-        split = stored(placed.join(mixed, "band"), "mixed")
-        left = split.select("band", F.col("b").alias("a"), F.col("part").alias("part_a"))
-        across = left.join(split, "band").where("part_a < part").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        rest = across.distinct().join(stars, ["a", "b"], "left_anti")
-        return links.unionAll(self._links(rest, signed))
+        crowded = stored(bands.join(leaders, "band").select("band", "number", "a", "doc_id"), "buckets")
+        stars = crowded.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+        links = self._verified(self._compared(stars, signed))
+        links = links.unionAll(self._across(crowded, links, signed, best=True))
+        return links.unionAll(self._across(crowded, links, signed, best=False))
 
     def resolved(self) -> DataFrame:
         """``(doc_id, n_shingles, component_id)`` of every document."""
