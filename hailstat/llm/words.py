@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ CHUNK_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 UNBASE = np.uint64(pow(int(BASE), -1, 1 << 64))
 STEP = 1 << 16
+SOME = 50_000
 
 # White space of the contracts is 20 and 09 to 0D; the other class is 0-9, a-z and all beyond ASCII.
 SPACED = np.array([not (b == 0x20 or 0x09 <= b <= 0x0D) for b in range(256)])
@@ -36,17 +36,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 
 
-@cache
-def _powers(steps: int) -> tuple[np.ndarray, np.ndarray]:
-    n = steps * STEP
-    up, down = np.full(n, BASE), np.full(n, UNBASE)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_KEPT: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse; a process keeps one table, for the longest so far."""
+    if len(_KEPT[0]) < n:
+        size = max(STEP, 1 << (n - 1).bit_length())
+        for i, factor in enumerate((BASE, UNBASE)):
+            steps = np.full(size, factor)
+            steps[0] = 1
+            _KEPT[i] = np.cumprod(steps)
+    return _KEPT[0], _KEPT[1]
 
 
 def runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of ``values[start:end]`` for each pair; equal runs have equal hashes wherever they stand."""
-    up, down = _powers(len(values) // STEP + 1)
+    up, down = _powers(len(values))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])])
     at = np.minimum(starts, max(len(values) - 1, 0))
     return mix((total[ends] - total[starts]) * down[at] + (ends - starts).astype(np.uint64) * BASE)
@@ -69,7 +75,12 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return runs(BYTES[self.data], self.starts, self.ends)
+        """A hash of each word; some words at a time, since every byte needs 64-bit numbers on the way."""
+        out = np.empty(len(self.starts), np.uint64)
+        for i in range(0, len(out), SOME):
+            starts, ends = self.starts[i : i + SOME], self.ends[i : i + SOME]
+            out[i : i + SOME] = runs(BYTES[self.data[starts[0] : ends[-1]]], starts - starts[0], ends - starts[0])
+        return out
 
     def windows(self, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of every window of ``size`` consecutive words within a row."""
