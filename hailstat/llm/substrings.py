@@ -7,10 +7,11 @@ windows together and the earliest place of each is known exactly: hashes only pr
 words themselves decide. Every other place is marked, and a last step per document removes the words
 that marked windows cover.
 
-Before they travel, equal packed strings of one batch fold into the first of them: the others repeat
-an earlier place by construction, so only their marks go on. A passage that a third of all documents
-share therefore sends one row per batch and not one per document, and a bucket is streamed one
-minimiser at a time. The marks of a document meet as one binary per packed string.
+Before they travel, equal packed strings of one part of a partition fold into the first of them: the
+others repeat an earlier place by construction, so only their marks go on. A passage that a third of all
+documents share therefore sends one string per part and not one per document. All strings of a part for
+one bucket are one compressed row, and a task holds one bucket at a time; there are ``FINE`` buckets to
+a shuffle partition. The marks of a document meet as runs of window starts.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,9 @@ from hailstat.llm.tables import documents
 
 WINDOW = 20
 MINIMISER = 4
-PACKED = "minimiser long, doc_id long, start long, n long, packed binary"
+FINE = 8
+PART_BYTES = 4 << 20
+PACKED = "bucket long, blob binary"
 MARKED = "doc_id long, marks binary"
 
 
@@ -43,16 +46,32 @@ def smallest_of(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(least[:-rest], least[rest:]) if rest else least
 
 
-def mark(starts, lengths) -> bytes:
-    """Runs of window starts as pairs of 64-bit numbers."""
-    return np.column_stack([starts, lengths]).astype("<i8").tobytes()
+def _blob(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, texts: list[bytes]) -> bytes:
+    """Places and packed strings of one bucket; without strings, runs that are marked already."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    head = np.array([len(docs), len(texts)], np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([*(a.astype("<i8").tobytes() for a in (head, docs, starts, counts, sizes)), *texts]))
 
 
-def _pack(batches):
-    for batch in batches:
-        first: dict[bytes, tuple] = {}
-        repeats: dict[int, list[tuple[int, int]]] = {}
-        for part in W.chunks(iter([batch])):
+def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, k = np.frombuffer(raw, "<i8", 2).tolist()
+    numbers = np.frombuffer(raw, "<i8", 3 * n + k, 16)
+    return numbers[:n], numbers[n : 2 * n], numbers[2 * n : 3 * n], numbers[3 * n :], raw[16 + 8 * (3 * n + k) :]
+
+
+def _by_bucket(buckets: np.ndarray, docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+    order = np.argsort(buckets, kind="stable")
+    keys, cuts = np.unique(buckets[order], return_index=True)
+    blobs = []
+    for rows in np.split(order, cuts[1:]) if len(keys) else []:
+        blobs.append(_blob(docs[rows], starts[rows], counts[rows], [texts[i] for i in rows.tolist()] if texts else []))
+    return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+
+
+def _pack(buckets: int):
+    def pack(batches):
+        for part in W.chunks(batches, limit=PART_BYTES):
             words = W.find_words(part.column("text"), W.SPACED, lower=False)
             n = len(words.starts) - WINDOW + 1
             if n <= 0:
@@ -69,34 +88,23 @@ def _pack(batches):
             after[:-1] &= ~valid[1:] | new[1:]
             closes = np.flatnonzero(after)
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            lasts = closes + WINDOW - 1
-            hay = words.data.copy()
-            for key, row, at, count, a, b in zip(
-                least[opens].view(np.int64).tolist(), rows[opens].tolist(), opens.tolist(), (closes - opens + 1).tolist(),
-                words.starts[opens].tolist(), words.ends[lasts].tolist(),
-            ):
-                text, place = hay[a:b].tobytes(), (ids[row], at - words.first[row])
-                known = first.get(text)
-                if known is None:
-                    first[text] = (key, *place, count)
-                    continue
-                if place < known[1:3]:
-                    first[text], place = (key, *place, count), known[1:3]
-                repeats.setdefault(int(place[0]), []).append((int(place[1]), count))
-        if first:
-            columns = list(zip(*first.values()))
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.array(c), pa.int64()) for c in columns), pa.array(list(first), pa.binary())],
-                ["minimiser", "doc_id", "start", "n", "packed"],
-            )
-        if repeats:
-            lists = {doc: np.array(runs) for doc, runs in repeats.items()}
-            docs = np.array(list(lists))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(W.mix(docs.astype(np.uint64)).view(np.int64)), pa.array(docs), pa.nulls(len(docs), pa.int64()),
-                 pa.nulls(len(docs), pa.int64()), pa.array([mark(r[:, 0], r[:, 1]) for r in lists.values()], pa.binary())],
-                ["minimiser", "doc_id", "start", "n", "packed"],
-            )
+            docs, starts, counts = ids[rows[opens]], opens - words.first[rows[opens]], closes - opens + 1
+            earliest = np.lexsort((starts, docs))
+            data, first, repeats, texts = words.data.tobytes(), set(), [], []
+            begins, ends = words.starts[opens].tolist(), words.ends[closes + WINDOW - 1].tolist()
+            for i in earliest.tolist():
+                text = data[begins[i] : ends[i]]
+                repeats.append(text in first)
+                if not repeats[-1]:
+                    first.add(text)
+                    texts.append(text)
+            again = np.array(repeats, bool)
+            fresh, old = earliest[~again], earliest[again]
+            yield _by_bucket(least[opens[fresh]] % np.uint64(buckets), docs[fresh], starts[fresh], counts[fresh], texts)
+            if len(old):
+                yield _by_bucket(W.mix(docs[old].astype(np.uint64)) % np.uint64(buckets), docs[old], starts[old], counts[old], [])
+
+    return pack
 
 
 def _same_words(texts: bytes, words: W.Words, mine: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -123,7 +131,7 @@ def _same_words(texts: bytes, words: W.Words, mine: np.ndarray, base: np.ndarray
 
 def _later(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, packed: pa.Array):
     """Which windows of the packed strings have an equal one at an earlier place."""
-    words = W.find_words(packed.cast(pa.string()), W.SPACED, lower=False)
+    words = W.find_words(packed, W.SPACED, lower=False)
     at = W.gather(counts, words.first[:-1])
     row = np.repeat(np.arange(len(counts)), counts)
     hashes = W.runs(words.hashes(), at, at + WINDOW)
@@ -149,51 +157,45 @@ def _later(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, packed: pa.
     return later, row, place
 
 
-def _marks(docs, later, row, place):
-    edge = np.concatenate([[True], (row[1:] != row[:-1]) | ~later[:-1]])
-    opens = np.flatnonzero(later & edge)
-    closes = np.flatnonzero(later & np.concatenate([edge[1:] | ~later[1:], [True]]))
-    owner = docs[row[opens]]
-    order = np.argsort(owner, kind="stable")
-    ids, cuts = np.unique(owner[order], return_index=True)
-    runs = np.column_stack([place[opens], closes - opens + 1])[order].astype("<i8")
-    return ids, [r.tobytes() for r in np.split(runs, cuts[1:])] if len(ids) else []
+def _runs_by_document(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(docs, kind="stable")
+    ids, cuts = np.unique(docs[order], return_index=True)
+    runs = np.column_stack([starts, counts])[order].astype("<i8")
+    marks = [r.tobytes() for r in np.split(runs, cuts[1:])] if len(ids) else []
+    return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(marks, pa.binary())], ["doc_id", "marks"])
+
+
+def _settle(blobs: list[bytes]):
+    """The marks of one bucket."""
+    told = [_unblob(b) for b in blobs]
+    for docs, starts, counts, sizes, _ in told:
+        if not len(sizes):
+            yield _runs_by_document(docs, starts, counts)
+    told = [t for t in told if len(t[3])]
+    if not told:
+        return
+    docs, starts, counts, sizes = (np.concatenate([t[i] for t in told]) for i in range(4))
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    packed = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(b"".join(t[4] for t in told)))
+    later, row, place = _later(docs, starts, counts, packed)
+    new = np.concatenate([[True], row[1:] != row[:-1]])
+    opens = np.flatnonzero(later & (new | np.concatenate([[True], ~later[:-1]])))
+    closes = np.flatnonzero(later & np.concatenate([new[1:] | ~later[1:], [True]]))
+    yield _runs_by_document(docs[row[opens]], place[opens], closes - opens + 1)
 
 
 def _bucket(batches):
-    """Rows arrive sorted by minimiser; a minimiser is never cut."""
-    names = ["doc_id", "marks"]
-
-    def settle(part: pa.Table):
-        part = part.combine_chunks()
-        docs, starts, counts = (part.column(c).to_numpy() for c in ("doc_id", "start", "n"))
-        later, row, place = _later(docs, starts, counts.astype(np.int64), pa.concat_arrays(part.column("packed").chunks))
-        ids, marks = _marks(docs, later, row, place)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.binary())], names)
-
-    held: list[pa.Table] = []
+    """Rows arrive sorted by bucket; a bucket may go on in the next batch."""
+    current, held = None, []
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        told = pa.Table.from_batches([batch])
-        passed = told.filter(pc.is_null(told.column("n")))
-        if passed.num_rows:
-            for found in passed.select(["doc_id", "packed"]).rename_columns(names).to_batches():
-                yield found
-        rows = told.filter(pc.is_valid(told.column("n")))
-        if not rows.num_rows:
-            continue
-        keys = rows.column("minimiser").to_numpy()
-        if held and held[0].column("minimiser")[0].as_py() != keys[0]:
-            yield settle(pa.concat_tables(held))
-            held = []
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if cut:
-            yield settle(pa.concat_tables([*held, rows.slice(0, cut)]))
-            held = []
-        held.append(rows.slice(cut))
+        for key, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
+            if key != current and held:
+                yield from _settle(held)
+                held = []
+            current = key
+            held.append(blob.as_py())
     if held:
-        yield settle(pa.concat_tables(held))
+        yield from _settle(held)
 
 
 def covered(starts: np.ndarray, lengths: np.ndarray, n: int, window: int = WINDOW) -> np.ndarray:
@@ -228,8 +230,9 @@ def _clean(batches):
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``(doc_id, marks)``: runs of windows that stand earlier as well, in any number of rows per document."""
-    packed = documents(docs).mapInArrow(_pack, PACKED)
-    spread = packed.repartition("minimiser").sortWithinPartitions("minimiser")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = documents(docs).mapInArrow(_pack(FINE * partitions), PACKED)
+    spread = packed.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     return spread.mapInArrow(_bucket, MARKED)
 
 
