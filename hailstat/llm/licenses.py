@@ -6,8 +6,8 @@ Of a template with n words of which k are needed, any match shares one of its fi
 filter); the block has k words or more (the length filter); and the words of the template from that first
 shared one on must be k or more (the positional filter). Candidates are verified on the whole sets.
 
-All steps are DataFrame operations. The join's small side is the templates' prefixes. Only texts with a
-word of some template are cut into blocks; a block with a common prefix word meets that template once.
+All steps are DataFrame operations. Texts are searched without regard to ASCII case, never copied in lower
+case; only blocks with a prefix word are looked at more closely, and each meets a template once.
 """
 
 from __future__ import annotations
@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 
 from hailstat.llm.tables import documents, stored
 
-CONTAINMENT = 0.8
+CONTAINMENT = 0.9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # The phrases of the contract and their labels.
 PHRASES = {
@@ -52,7 +51,13 @@ def lowered(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The lower-case words of a text, in order."""
-    return F.regexp_extract_all(lowered(text), F.lit(f"({WORD})"), F.lit(1))
+    return F.transform(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), lowered)
+
+
+def any_of(listed: list[str]) -> Column:
+    """A pattern for whole words of a list, in any ASCII case."""
+    letter = WORD[:-1]
+    return F.lit(f"(?i)(?<!{letter})(?:{'|'.join(sorted(listed))})(?!{letter})")
 
 
 def default_templates(spark) -> DataFrame:
@@ -70,17 +75,14 @@ def block_matches(docs: DataFrame, templates: DataFrame, containment: float = CO
     sets = stored(sets.withColumn("needed", F.greatest(F.lit(1), needed)), "templates")
     vocabulary = sets.select(F.explode("set").alias("word")).distinct()
 
-    # Blocks of every text, with the words they share with some template: one pass over all words.
-    lines = documents(docs).select("doc_id", F.posexplode(F.split(lowered(F.col("text")), "\n")).alias("block", "line"))
     listed = [r[0] for r in vocabulary.collect()]  # words of the templates
-    some = F.lit("(?<!W)(?:%s)(?!W)".replace("W", WORD[:-1]) % "|".join(sorted(listed) or ["\n"]))
-    own = lines.select(
-        "doc_id", "block", F.array_distinct(F.regexp_extract_all("line", some, F.lit(0))).alias("shared"), "line"
-    ).where(F.size("shared") > 0)
-
-    # Word counts over all documents: documents that hold the word, folded before the shuffle.
-    least = sets.agg(F.min("needed")).first()[0] or 1
-    counts = own.select(F.explode("shared").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    lines = documents(docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line"))
+    if not listed:
+        return lines.where("false").selectExpr("doc_id", "block", "0 AS template_id", "'' AS label", "0D AS containment")
+
+    # Counts of these words over all documents, folded before the shuffle.
+    every = documents(docs).select(F.explode(F.regexp_extract_all("text", any_of(listed), F.lit(0))).alias("word"))
+    counts = every.groupBy("word").agg(F.count("*").alias("n")).groupBy(lowered(F.col("word")).alias("word")).agg(F.sum("n").alias("n"))
     order = vocabulary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
     ranked = (
         sets.select("template_id", F.explode("set").alias("word"))
@@ -93,17 +95,33 @@ def block_matches(docs: DataFrame, templates: DataFrame, containment: float = CO
         F.posexplode(F.slice("ranked", F.lit(1), F.size("ranked") - F.col("needed") + 1)).alias("place", "word"),
         F.size("set").alias("n"), "ranked",
     )
-    candidates = own.where(F.size("shared") >= least).select("doc_id", "block", "shared", F.explode("shared").alias("word")).join(prefixes, "word")
+    prefixes = stored(prefixes, "prefixes")
+    rare = [r[0] for r in prefixes.select("word").distinct().collect()]
+    likely = lines.where(F.rlike("line", any_of(rare)))
+    own = likely.select("doc_id", "block", F.array_distinct(words(F.col("line"))).alias("own"))
+    own = own.select("doc_id", "block", "own", F.explode("own").alias("word"))
+    candidates = own.join(prefixes, "word").where(F.size("own") >= F.col("needed"))  # the length filter
     candidates = candidates.where(F.col("n") - F.col("place") >= F.col("needed"))  # the positional filter
-    first = F.size(F.array_intersect("shared", F.slice("ranked", F.lit(1), F.col("place")))) == 0  # once for a pair
-    found = F.size(F.array_intersect("shared", "set"))
+    shared = F.col("own")
+    first = F.size(F.array_intersect(shared, F.slice("ranked", F.lit(1), F.col("place")))) == 0  # once for a pair
+    found = F.size(F.array_intersect(shared, F.col("set")))
     return candidates.where(first & (found >= F.col("needed"))).select(
         "doc_id", "block", "template_id", "label", (found / F.col("n")).alias("containment")
     )
 
 
-def _placed(label: str):
-    return lambda i: F.struct(i.cast("long").alias("at"), F.lit(label).alias("label"))
+def phrase_starts(text: Column, phrase: str) -> Column:
+    """The word numbers at which the words of a phrase stand consecutively, in any ASCII case.
+
+    The text is cut where the phrase begins, which is always before a word, so the words of all parts
+    before a cut are the words before that place. A phrase may overlap itself.
+    """
+    letter = WORD[:-1]
+    there = f"(?i)(?<!{letter})(?={phrase.replace(' ', BETWEEN)}(?!{letter}))"
+    parts = F.split(F.concat(F.lit(" "), text), there)  # the blank: no cut before the first character
+    counts = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.regexp_count(p, F.lit(WORD)).cast("long"))
+    none = F.array().cast("array<bigint>")
+    return F.aggregate(counts, none, lambda out, n: F.concat(out, F.array(n + F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)))))
 
 
 def phrase_places(docs: DataFrame, phrases: dict[str, str] | None = None) -> DataFrame:
@@ -112,21 +130,13 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str] | None = None) -> Dat
     A phrase stands where its words stand consecutively, whatever is between them that is no word.
     """
     phrases = PHRASES if phrases is None else phrases
-    pattern = "|".join(f"(?:{p.replace(' ', BETWEEN)})" for p in phrases)
-    likely = documents(docs).select("doc_id", lowered(F.col("text")).alias("text")).where(F.rlike("text", F.lit(pattern)))
-    found = likely.select("doc_id", words(F.col("text")).alias("words"))
-    parts = []
-    for phrase, label in phrases.items():
-        own = phrase.split(" ")
-        at = F.filter(
-            F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.slice("words", i + 1, len(own)) == F.array(*map(F.lit, own))
-        )
-        parts.append(F.transform(at, _placed(label)))
-    placed = found.where(F.size("words") > 0).select("doc_id", F.concat(*parts).alias("places")).where(F.size("places") > 0)
-    return placed.select(
-        "doc_id", F.size("places").cast("long").alias("n_base"), F.array_min("places.at").alias("first_word"),
-        F.array_max("places.at").alias("last_word"), F.array_distinct("places.label").alias("base"),
-    )
+    pattern = "(?i)" + "|".join(f"(?:{p.replace(' ', BETWEEN)})" for p in phrases)
+    likely = documents(docs).where(F.rlike("text", F.lit(pattern)))
+    listed = [F.struct(F.lit(label).alias("label"), phrase_starts(F.col("text"), phrase).alias("starts")) for phrase, label in phrases.items()]
+    rows = likely.select("doc_id", F.explode(F.array(*listed)).alias("p")).select("doc_id", "p.label", F.explode("p.starts").alias("at"))
+    return rows.groupBy("doc_id").agg(
+        F.count("*").alias("n_base"), F.min("at").alias("first_word"), F.max("at").alias("last_word"), F.collect_set("label").alias("base")
+    )
 
 
 def license_scan(docs: DataFrame, templates: DataFrame | None = None, containment: float = CONTAINMENT) -> DataFrame:
@@ -144,7 +154,7 @@ def license_scan(docs: DataFrame, templates: DataFrame | None = None, containmen
     marks = phrase_places(docs).join(matched, "doc_id", "full")
     none = F.array().cast("array<string>")
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
-    counted = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
+    counted = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     return counted.join(marks, "doc_id", "left").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
         joined(F.coalesce("base", none)).alias("base_labels"),
