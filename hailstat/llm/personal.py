@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.llm.tables import documents
+from hailstat.llm.tables import documents, stored
 
 ACCEPT = 0.7
 AROUND = 40  # characters before and after a span that its labelers see
@@ -30,7 +30,6 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]{10}", "phone": r"\+[0-9]"}
 LOOSE = {
     "secret": r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|(?:password|passwd|token|secret|api_key)[\x20]{0,2}[=:][\x20]{0,2}[\x22\x27]?[A-Za-z0-9_/+-]{8,64})",
     "identity": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -38,16 +37,25 @@ LOOSE = {
     "name": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?[\x20]\p{Lu}\p{Ll}{1,30}(?:[\x20]\p{Lu}\p{Ll}{1,30})?",
 }
 ORDER = [*BASE, *LOOSE]
+# What a text must hold for a kind to be looked for; every match of the kind holds it.
+NEEDS = {
+    "email": "@",
+    "ip": r"[0-9]\.[0-9]",
+    "card": "[0-9][0-9 -]{10}[0-9]",
+    "phone": r"\+[0-9]",
+    "secret": "AKIA|password|passwd|token|secret|api_key",
+    "identity": "[0-9]-[0-9]{2}-[0-9]",
+    "telephone": r"[0-9][\x20.-][0-9]{4}",
+    "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20\p{Lu}",
+}
 # Words near personal data, words near examples.
 NEAR_FOR = "mail|e-mail|phone|tel|call|fax|mobile|contact|card|visa|account|address|ssn|password|secret|key|token|login"
 NEAR_AGAINST = "example|sample|test|dummy|version|isbn|section|figure|page|placeholder"
 LABELERS = ["strict", "context", "example", "varied", "gazetteer"]
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """``array<struct<start, stop, found>>`` of the leftmost non-overlapping matches, in code points."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
+def spans(found: Column, gaps: Column) -> Column:
+    """``array<struct<start, stop, found>>`` in code points, from the matches and the texts between them."""
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("found")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,found:string>>").alias("out"))
 
@@ -57,7 +65,7 @@ def spans(text: Column, pattern: str) -> Column:
         one = F.struct(start.alias("start"), stop.alias("stop"), step["found"].alias("found"))
         return F.struct(stop.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(steps, empty, add, lambda s: s["out"])).otherwise(empty["out"])
+    return F.aggregate(steps, empty, add, lambda s: s["out"])
 
 
 def luhn(text: Column) -> Column:
@@ -87,26 +95,24 @@ def strict(kind: Column, found: Column) -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id, kind, start, stop, found, base, before, after`` of all candidates; base ones passed their rule."""
     texts = documents(docs)
-    found = []
+    kinds = F.array_compact(F.array(*(F.when(F.rlike("text", F.lit(NEEDS[k])), F.lit(k)) for k in ORDER)))
+    wanted = texts.select("doc_id", "text", F.explode(kinds).alias("kind"))
+    found, gaps = F.lit(None).cast("array<string>"), F.lit(None).cast("array<string>")
     for kind, pattern in {**BASE, **LOOSE}.items():
-        need = NEEDS.get(kind, pattern)
-        own = F.when(F.rlike("text", F.lit(need)), spans(F.col("text"), pattern))
-        found.append(F.transform(own, _of_kind(kind)))
-    none = F.array().cast("array<struct<kind:string,start:int,stop:int,found:string>>")
-    every = texts.select("doc_id", "text", F.concat(*(F.coalesce(f, none) for f in found)).alias("spans")).where(F.size("spans") > 0)
-    rows = every.select("doc_id", "text", F.explode("spans").alias("s"))
+        here = F.col("kind") == kind
+        found = F.when(here, F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1))).otherwise(found)
+        gaps = F.when(here, F.split("text", pattern, -1)).otherwise(gaps)
+    # A generator, so that each search is made once and not once for each use of its result.
+    searched = wanted.select("doc_id", "text", "kind", F.inline(F.array(F.struct(found.alias("found"), gaps.alias("gaps")))))
+    rows = searched.select("doc_id", "text", "kind", F.explode(spans(F.col("found"), F.col("gaps"))).alias("s"))
     start, stop = F.col("s.start"), F.col("s.stop")
     return rows.select(
-        "doc_id", "s.kind", "s.start", "s.stop", "s.found", strict(F.col("s.kind"), F.col("s.found")).alias("base"),
+        "doc_id", "kind", "s.start", "s.stop", "s.found", strict(F.col("kind"), F.col("s.found")).alias("base"),
         F.lower(F.substring(F.col("text"), F.greatest(start - AROUND + 1, F.lit(1)), F.least(F.lit(AROUND), start))).alias("before"),
         F.lower(F.substring(F.col("text"), stop + 1, F.lit(AROUND))).alias("after"),
     )
 
 
-def _of_kind(kind: str):
-    return lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["found"].alias("found"))
-
-
 def votes(spotted: DataFrame) -> DataFrame:
     """Adds a vote per labeler: 1 for personal, -1 against, 0 silent."""
     around = F.concat_ws(" ", "before", "after")
@@ -159,7 +165,7 @@ def classifier(patterns: list[tuple[tuple[int, ...], int]]) -> list[float]:
 
 def personal_spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """``doc_id, kind, start, stop, base, score`` of all spans that stay: exact ones, and accepted loose ones."""
-    voted = votes(candidates(docs))
+    voted = votes(stored(candidates(docs), "candidates"))
     patterns = [(tuple(r)[:-1], r[-1]) for r in voted.groupBy(*LABELERS).agg(F.count("*").alias("n")).collect()]
     weights = classifier(sorted(patterns))
     z = F.lit(weights[0])
