@@ -304,6 +304,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
 
     Two documents are linked if 100 * intersection >= percent * union of their shingle sets. Empty sets
     and nulls link with nothing; copies share a component; no rows give no rows; other columns are ignored.
+    A row without doc_id is never a component's name; where it is alone its component is null.
     """
     return NearDuplicates(docs, size, percent, miss).resolved().withColumn("kept", F.col("doc_id") == F.col("component_id"))
 

@@ -193,7 +193,7 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, ranks: str | N
     ``shares`` are target token weights per source; a source without one weighs its own share of all
     tokens (so by default every window has the proportions of the corpus and all queues end together).
     A source whose queue is empty leaves its room to the others. Null and empty texts are the id 0 alone;
-    a null source is a source; no rows give no pieces; doc_id must be unique; equal texts are packed each.
+    a null source is a source; no rows give no pieces; doc_id must be unique and not null; equal texts are packed each.
     """
     tokens = stored(encoded(docs, ranks, full), "tokens")
     sizes = tokens.select("doc_id", "source", "doc_tokens")

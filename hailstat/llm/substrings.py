@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,7 @@ def _by_bucket(buckets: np.ndarray, docs: np.ndarray, starts: np.ndarray, counts
 def _pack(buckets: int):
     def pack(batches):
         for part in W.chunks(batches, limit=PART_BYTES):
+            part = part.filter(pc.is_valid(part.column("doc_id")))
             words = W.find_words(part.column("text"), W.SPACED, lower=False)
             n = len(words.starts) - WINDOW + 1
             if n <= 0:
@@ -242,7 +244,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     A word goes if a window that covers it also starts at an earlier place: a smaller doc_id, or the same
     document and an earlier start. Null and empty texts, and texts shorter than a window, keep all they
     have. Of equal texts the one with the smallest doc_id stays whole. Texts are taken whole, other
-    columns are ignored, no rows give no rows; doc_id must be unique.
+    columns are ignored, no rows give no rows; doc_id must be unique, and texts without one are left as they are.
     """
     marks = repeated_windows(docs).groupBy("doc_id").agg(F.collect_list("marks").alias("marks"))
     joined = documents(docs).join(marks, "doc_id", "left").select("doc_id", "text", "marks")

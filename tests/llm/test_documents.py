@@ -149,3 +149,13 @@ def test_windows_hold_the_target_shares(spark):
     half = packing.WINDOW_SEQUENCES
     small = sum(r.length for r in found if r.sequence_id < half and r.source == "small")
     assert abs(small - 0.5 * half * packing.LENGTH) <= 2 * packing.LENGTH
+
+
+def test_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    first, second = 2**60 + 1, 2**60 + 3  # not exact as floating point
+    df = spark.createDataFrame([(None, text), (first, text), (second, text), (5, None), (None, "x")], "doc_id long, text string")
+    removed = [(r.doc_id, r.n_removed) for r in substrings.substring_dedup(df).collect()]
+    assert sorted(removed, key=str) == sorted([(None, 0), (first, 0), (second, 40), (5, 0), (None, 0)], key=str)
+    parts = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(df, 2).collect()}
+    assert parts == {(None, 39): first, (first, 39): first, (second, 39): first, (5, 0): 5, (None, 1): None}
