@@ -41,7 +41,7 @@ ORDER = [*BASE, *LOOSE]
 NEEDS = {
     "email": "@",
     "ip": r"[0-9]\.[0-9]",
-    "card": "[0-9][0-9 -]{10}[0-9]",
+    "card": r"[0-9](?:[\x20-]?[0-9]){11}",
     "phone": r"\+[0-9]",
     "secret": "AKIA|password|passwd|token|secret|api_key",
     "identity": "[0-9]-[0-9]{2}-[0-9]",

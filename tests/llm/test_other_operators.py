@@ -137,6 +137,13 @@ def test_personal(spark):
     assert personal.personal_data(df.limit(0)).count() == 0
 
 
+def test_cards_with_a_separator_after_every_digit(spark):
+    texts = [" ".join("4111111111111111"), "-".join("4111111111111111"), "pay 4-1 1-1 1-1 1-1 1-1 1-1 1-1 1-1 now", " ".join("4111111111111112"), "4 1 1 1 1"]
+    rows = {r.doc_id: r for r in personal.personal_data(brute.docs(spark, texts)).collect()}
+    assert [rows[i].n_card for i in range(5)] == [1, 1, 1, 0, 0]
+    assert [rows[i].spans for i in range(5)] == ["card:0:31", "card:0:31", "card:4:35", "", ""]
+
+
 def test_em_tells_reliable_labelers():
     patterns = [((1, 1, 0, 1, 1), 90), ((-1, 0, -1, -1, 0), 80), ((1, 0, 0, 1, 0), 40), ((-1, 0, 0, -1, -1), 30)]
     _, _, post = personal.estimate(patterns)
