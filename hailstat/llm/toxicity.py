@@ -3,13 +3,13 @@
 1. A lexicon of words and word beginnings is learnt from labelled documents: terms that stand in
    significantly more toxic texts (likelihood ratio), each with the log-odds of its texts.
 2. The words of a text are matched against it: a word of the trie, a beginning of it, or, for longer
-   words, one edit away, found by running the Levenshtein automaton of the word over the trie.
+   words, one edit away from any word of the lexicon, found by running the Levenshtein automaton of the word over the trie.
    Words that are one edit away from a term but stand in clean labelled texts are words of their own.
 3. The window around a match tells a quotation (quote marks around it, a word of saying near it) from use.
 4. The strengths of the used, quoted and misspelled terms of a text are weighed by a logistic regression.
 
 Learning reads at most ``SAMPLE`` labelled rows, those of the smallest hashes of doc_id. Scoring reads
-every word of every text and needs no shuffle; the model (at most ``TERMS`` terms) goes to every task.
+every word of every text and needs no shuffle; the model (all significant terms of those rows) goes to every task.
 """
 
 from __future__ import annotations
@@ -29,16 +29,14 @@ from hailstat.llm import words as W
 from hailstat.llm.tables import documents
 
 SAMPLE = 20_000
-TERMS = 2_000
 SIGNIFICANT = 30.0  # of the likelihood ratio: about 4e-8 by chance
 PRECISE = 0.6
 BEGINNINGS = range(3, 9)
-FUZZY_LENGTH = 5
+FUZZY_LENGTH = 4
 REACH = 5
 KNOWN = 300_000
 
 PRIOR = (-3.0, 1.0, 0.3, 0.8)  # of the intercept and of used, quoted and misspelled strength
-COMMON = 0.05  # of the toxic texts must hold a term before its misspellings are looked for
 
 WORD = re.compile(r"[^\W\d_]+")
 QUOTES = "\"'“”„«»‘’`"
@@ -91,7 +89,7 @@ class Model:
     words: dict[str, float]
     beginnings: dict[str, float]
     weights: tuple[float, ...] = PRIOR
-    fuzzy: frozenset[str] = frozenset()  # common words, whose misspellings count
+    fuzzy: frozenset[str] = frozenset()  # words whose misspellings count
     proper: frozenset[str] = frozenset()  # near a term, but a word of its own
 
     def matcher(self) -> Matcher:
@@ -194,10 +192,14 @@ def choose(rows: list[tuple[str, int, int]]) -> tuple[dict[str, float], dict[str
     strength = lambda a, b: round(math.log((a + 0.5) / (b + 0.5)), 3)
     words = {t: (a, b) for t, a, b in rows if not t.endswith("*")}
     starts = {t[:-1]: (a, b) for t, a, b in rows if t.endswith("*")}
+    most: dict[str, int] = {}  # the toxic texts of the commonest word with a beginning
+    for word, (a, _) in words.items():
+        for n in BEGINNINGS:
+            most[word[:n]] = max(most.get(word[:n], 0), a)
     chosen: dict[str, float] = {}
     for start in sorted(starts, key=lambda s: (len(s), s)):
         a, b = starts[start]
-        if any(w.startswith(start) and words[w][0] >= 0.8 * a for w in words):
+        if most.get(start, 0) >= 0.8 * a:
             continue  # one word stands for the beginning
         shorter = [start[:n] for n in range(1, len(start)) if start[:n] in chosen]
         if any(starts[s][0] / sum(starts[s]) >= a / (a + b) - 0.03 for s in shorter):
@@ -271,11 +273,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         n, part = F.col("a") + F.col("b"), F.col("a") / (F.col("a") + F.col("b"))
         ratio = 2 * (F.col("a") * F.log(part / share) + F.when(F.col("b") > 0, F.col("b") * F.log((1 - part) / (1 - share))).otherwise(0))
         terms = counts.where((F.col("a") > 0) & (part >= max(PRECISE, share))).withColumn("ratio", ratio).where(F.col("ratio") >= SIGNIFICANT)
-        terms = terms.orderBy(F.desc("ratio"), "term").limit(TERMS).select("term", "a", "b")
-        chosen = [tuple(r) for r in terms.collect()]
-        model = Model(*choose(chosen), fuzzy=frozenset(t for t, a, _ in chosen if a >= COMMON * totals[1]))
+        # Each is significant over at most ``sample`` texts, which bounds their number.
+        words, starts = choose(sorted(tuple(r) for r in terms.select("term", "a", "b").collect()))
+        model = Model(words, starts, fuzzy=frozenset(words))
         proper = rows.where("toxic = 0").mapInArrow(_near_words(model), "word string").distinct()
-        model.proper = frozenset(r[0] for r in proper.collect())  # neighbours of at most TERMS terms
+        model.proper = frozenset(r[0] for r in proper.collect())  # neighbours of the terms
         cells = rows.mapInArrow(_strengths(model), "used double, quoted double, misspelled double, toxic long, n long")
         cells = cells.groupBy("used", "quoted", "misspelled").agg(
             F.sum(F.expr("n * toxic")).alias("a"), F.sum(F.expr("n * (1 - toxic)")).alias("b")

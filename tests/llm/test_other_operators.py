@@ -192,6 +192,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert clean.columns == odd.columns and {r.doc_id for r in clean.collect()} == {0, 1}
 
 
+def test_misspellings_of_rare_terms_count(spark):
+    insults = [c * 2 + "olbrak"[k % 3 :] + d for k, (c, d) in enumerate(zip("bcdfghjklmnpqrstvwxzbcdfgh", "zyxwvutsrqponmlkjihgfedcba"))][:25] + ["scum"]
+    texts = [f"you {w} no {k}" for w in insults for k in range(8)] + [f"a plain text {k}" for k in range(2000)] + [f"a scam of {k}" for k in range(9)]
+    labels = spark.createDataFrame([(i, int(t.startswith("you"))) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    matcher = toxicity.learn(brute.docs(spark, texts), labels).matcher()
+    for w in insults:  # each in less than 5 % of the toxic texts
+        assert matcher.strengths(f"such {w} here")[0] > 0
+        assert matcher.strengths(f"such {w[:2]}{w[3:]} here")[2] > 0 and matcher.strengths(f"such {w}q here")[2] > 0
+    assert matcher.strengths("a scam here") == (0.0, 0.0, 0.0)
+
+
 def test_no_labels_give_low_scores(spark):
     docs = brute.docs(spark, ["you idiot", None])
     model = toxicity.learn(docs, spark.createDataFrame([(0, None), (1, 7), (None, 1)], "doc_id long, toxic int"))
