@@ -1,10 +1,11 @@
 """License text in documents, by an exact set-similarity join of text blocks with license templates.
 
-A block is a line; blocks and templates are sets of words. A block matches a template if it holds at least
-``CONTAINMENT`` of the template's words. Words are ordered by their count over all documents, rarest first.
+A block is a paragraph, the text between lines without words. It matches a template if one of its lines, or,
+as notices are wrapped, ``SPAN`` times as many consecutive words of it as the template has, hold at least
+``CONTAINMENT`` of the template's distinct words. Words are ordered by their count over all documents, rarest first.
 Of a template with n words of which k are needed, any match shares one of its first n - k + 1 (the prefix
 filter); the block has k words or more (the length filter); and the words of the template from that first
-shared one on must be k or more (the positional filter). Candidates are verified on the whole sets.
+shared one on must be k or more (the positional filter). Candidates are verified on the whole sets, then line by line and span by span.
 
 All steps are DataFrame operations. Texts are searched without regard to ASCII case, never copied in lower
 case; only blocks with a prefix word are looked at more closely, and each meets a template once.
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from hailstat.llm.tables import documents, stored
 
 CONTAINMENT = 0.9
+SPAN = 2  # leaves room for words that stand at the margin of wrapped lines
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+GAP = r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -71,14 +74,14 @@ def block_matches(docs: DataFrame, templates: DataFrame, containment: float = CO
     equal ones all match. A null text has no blocks.
     """
     needed = F.ceil(F.lit(containment) * F.size("set") - 1e-9).cast("int")
-    sets = templates.select("template_id", "label", F.array_distinct(words(F.col("template"))).alias("set")).where(F.size("set") > 0)
+    sets = templates.select("template_id", "label", F.array_distinct(words(F.col("template"))).alias("set"), (SPAN * F.size(words(F.col("template")))).alias("span")).where(F.size("set") > 0)
     sets = stored(sets.withColumn("needed", F.greatest(F.lit(1), needed)), "templates")
     vocabulary = sets.select(F.explode("set").alias("word")).distinct()
 
     listed = [r[0] for r in vocabulary.collect()]  # words of the templates
-    lines = documents(docs).select("doc_id", F.posexplode(F.split("text", "\n")).alias("block", "line"))
+    paragraphs = documents(docs).select("doc_id", F.posexplode(F.split("text", GAP)).alias("block", "body"))
     if not listed:
-        return lines.where("false").selectExpr("doc_id", "block", "0 AS template_id", "'' AS label", "0D AS containment")
+        return paragraphs.where("false").selectExpr("doc_id", "block", "0 AS template_id", "'' AS label", "0D AS containment")
 
     # Counts of these words over all documents, folded before the shuffle.
     every = documents(docs).select(F.explode(F.regexp_extract_all("text", any_of(listed), F.lit(0))).alias("word"))
@@ -91,22 +94,28 @@ def block_matches(docs: DataFrame, templates: DataFrame, containment: float = CO
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("ranked"))
     )
     prefixes = sets.join(ranked, "template_id").select(
-        "template_id", "label", "needed", "set",
+        "template_id", "label", "needed", "set", "span",
         F.posexplode(F.slice("ranked", F.lit(1), F.size("ranked") - F.col("needed") + 1)).alias("place", "word"),
         F.size("set").alias("n"), "ranked",
     )
     prefixes = stored(prefixes, "prefixes")
     rare = [r[0] for r in prefixes.select("word").distinct().collect()]
-    likely = lines.where(F.rlike("line", any_of(rare)))
-    own = likely.select("doc_id", "block", F.array_distinct(words(F.col("line"))).alias("own"))
-    own = own.select("doc_id", "block", "own", F.explode("own").alias("word"))
+    likely = paragraphs.where(F.rlike("body", any_of(rare)))
+    own = likely.select("doc_id", "block", "body", words(F.col("body")).alias("all"))
+    own = own.select("doc_id", "block", "body", "all", F.array_distinct("all").alias("own"))
+    own = own.select("doc_id", "block", "body", "all", "own", F.explode(F.array_intersect("own", F.array(*map(F.lit, rare)))).alias("word"))
     candidates = own.join(prefixes, "word").where(F.size("own") >= F.col("needed"))  # the length filter
     candidates = candidates.where(F.col("n") - F.col("place") >= F.col("needed"))  # the positional filter
     shared = F.col("own")
     first = F.size(F.array_intersect(shared, F.slice("ranked", F.lit(1), F.col("place")))) == 0  # once for a pair
-    found = F.size(F.array_intersect(shared, F.col("set")))
-    return candidates.where(first & (found >= F.col("needed"))).select(
-        "doc_id", "block", "template_id", "label", (found / F.col("n")).alias("containment")
+    held = lambda some: F.size(F.array_intersect(some, F.col("set")))
+    pairs = candidates.where(first & (held(shared) >= F.col("needed")))
+    in_lines = F.array_max(F.transform(F.split("body", "\n"), lambda line: held(words(line))))
+    # The best span may as well begin with a word of the template.
+    in_spans = F.array_max(F.transform("all", lambda w, i: F.when(F.array_contains("set", w), held(F.slice("all", i + 1, F.col("span")))).otherwise(0)))
+    found = pairs.select("doc_id", "block", "template_id", "label", "needed", "n", F.greatest(in_lines, in_spans).alias("held"))
+    return found.where(F.col("held") >= F.col("needed")).select(
+        "doc_id", "block", "template_id", "label", (F.col("held") / F.col("n")).alias("containment")
     )
 
 

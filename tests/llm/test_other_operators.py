@@ -230,3 +230,18 @@ def test_pipeline_stages(spark, pipeline):
             assert set(left) == {d for d, e in brute.contaminated(before, items).items() if not e[4]}
         docs = spark.createDataFrame(out.collect(), out.schema)
     assert {r.doc_id for r in pipeline.run(spark, sf).collect()} == set(left)
+
+
+def test_wrapped_licenses(spark):
+    texts = [
+        "# Copyright 2020\n# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated files",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        "dnl This Source Code Form is subject to the terms of the Mozilla Public\r\ndnl License, v. 2.0. If a copy",
+        "released\nunder\nthe\nmit\nlicense", "released under the\n\nmit license", "released under the\n***\nmit license",
+        "released " + "x " * 20 + "\nunder the mit license",
+    ]
+    rows = {r.doc_id: r for r in licenses.license_scan(brute.docs(spark, texts)).collect()}
+    assert [rows[i].labels for i in range(len(texts))] == ["mit", "bsd", "mpl", "mit", "mit", "mit", "mit"]
+    assert [rows[i].score for i in range(3)] == [1.0, 1.0, 1.0] and rows[0].base_labels == ""
+    matched = licenses.block_matches(brute.docs(spark, texts), licenses.default_templates(spark)).collect()
+    assert sorted((r.doc_id, r.label) for r in matched) == [(0, "mit"), (1, "bsd"), (2, "mpl"), (3, "mit")]
