@@ -245,3 +245,20 @@ def test_wrapped_licenses(spark):
     assert [rows[i].score for i in range(3)] == [1.0, 1.0, 1.0] and rows[0].base_labels == ""
     matched = licenses.block_matches(brute.docs(spark, texts), licenses.default_templates(spark)).collect()
     assert sorted((r.doc_id, r.label) for r in matched) == [(0, "mit"), (1, "bsd"), (2, "mpl"), (3, "mit")]
+
+
+def test_pages_without_a_mark_keep_copies_and_phrases(spark):
+    phrase, menu = "to be or not to be that is the question", "<ul><li>Home</li><li>All of our news</li><li>Contact us</li></ul>"
+    long = " ".join(f"notice{i}" for i in range(pages.LONG))
+    cases = [
+        ("http://k/1", "<p>one copy of an unmarked page</p><p>with two blocks of text</p>", "one copy of an unmarked page\n\nwith two blocks of text"),
+        ("http://k/2", "<p>one copy of an unmarked page</p><p>with two blocks of text</p>", "one copy of an unmarked page\n\nwith two blocks of text"),
+        ("http://s/1", f"<p>he said {phrase} again</p>{menu}", f"he said {phrase} again"),
+        ("http://s/2", f"{menu}<p>she asked {phrase} once</p><div>mine {long}</div>", f"she asked {phrase} once\n\nmine"),
+        ("http://s/3", f"<p>third</p><blockquote>{phrase}</blockquote><div>{long} too</div>", f"third\n\n{phrase}\n\ntoo"),
+        (None, "<p>a block of six words here</p><p>x</p>", "a block of six words here\n\nx"),
+        (None, "<p>a block of six words here</p><p>y</p>", "a block of six words here\n\ny"),
+    ]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(cases)], "page_id long, url string, html string")
+    rows = {r.page_id: r.text for r in pages.main_text(df).collect()}
+    assert [rows[i] for i in range(len(cases))] == [t for _, _, t in cases]
