@@ -262,3 +262,16 @@ def test_pages_without_a_mark_keep_copies_and_phrases(spark):
     df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(cases)], "page_id long, url string, html string")
     rows = {r.page_id: r.text for r in pages.main_text(df).collect()}
     assert [rows[i] for i in range(len(cases))] == [t for _, _, t in cases]
+
+
+def test_articles_inside_frames(spark):
+    article = "<article><h2 id='social-costs'>A</h2><section id='related-work'><p class='notice-period'>b</p></section><p id='share'>c</p></article>"
+    cases = [
+        (f"<form id='aspnetForm'><nav>n</nav>{article}</form>", "A\n\nb\n\nc"),
+        (f"<div class='page has-sidebar' id='layout-with-nav'>{article}</div>", "A\n\nb\n\nc"),
+        (f"<div class='menu'><main><p>m</p><aside><article>no</article></aside><div class='comments'><article>no</article></div></main></div>", "m"),
+        ("<article><p>a</p><div class='x related'>no</div><div class='cookie-banner'>no</div><div hidden>no</div><p class='ad'>no</p></article>", "a"),
+    ]
+    df = spark.createDataFrame([(i, "http://f/", h) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
+    rows = {r.page_id: r.text for r in pages.main_text(df).collect()}
+    assert [rows[i] for i in range(len(cases))] == [t for _, t in cases]
