@@ -1,6 +1,7 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Pivots are at most ``PIVOTS`` of a sample of ``SAMPLE`` vectors (those of the smallest hashes of their values),
+Vectors of each length have pivots and lists of their own, as a cosine needs equal lengths.
+Pivots are at most ``PIVOTS`` of a sample of ``SAMPLE`` vectors of a length (those of the smallest hashes of their values),
 taken in turn if their cosine with every earlier pivot is below ``APART``: pivots inside one dense group
 would be in a different order for each of its members. A vector is described by its nearest ``NEAREST``
 pivots in order. Two vectors are candidates if at least ``SHARED`` pivots are
@@ -36,31 +37,29 @@ COSINE = 0.9
 BLOCK = 1024
 
 
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Unit rows in double precision and which rows are valid; the others are zero.
+def valid_units(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """Unit vectors in double precision of the valid rows, whatever their lengths, and which rows are valid.
 
-    Null, empty and zero vectors, null and non-finite components, and lengths other than the longest
-    are not valid; a shorter vector has a cosine with none.
+    Null, empty and zero vectors, null and non-finite components are not valid.
     """
     rows = column.to_pylist()
-    width = max((len(r) for r in rows if r), default=0)
-    out, good = np.zeros((len(rows), width)), np.zeros(len(rows), bool)
+    out, good = [], np.zeros(len(rows), bool)
     for i, row in enumerate(rows):
-        if row and len(row) == width and None not in row:
+        if row and None not in row:
             values = np.array(row, np.float64)
             if np.isfinite(values).all():
                 top = np.abs(values).max()
                 if top > 0:
                     values = values / top
-                    out[i], good[i] = values / np.sqrt(values @ values), True
+                    out.append(values / np.sqrt(values @ values))
+                    good[i] = True
     return out, good
 
 
 def _units(batches):
     for batch in batches:
-        units, good = matrix(batch.column("embedding"))
+        found, good = valid_units(batch.column("embedding"))
         keep = pa.array(good)
-        found = units[good]
         raw = [np.ascontiguousarray(u + 0.0).tobytes() for u in found]
         keys = np.zeros((len(raw), 2), np.int64)
         for i, r in enumerate(raw):
@@ -94,19 +93,18 @@ def described(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argsort(-np.round(units @ pivots.T, 12), axis=1, kind="stable")[:, :NEAREST]
 
 
-def _lists(pivots: np.ndarray):
-    groups = list(combinations(range(min(NEAREST, len(pivots))), min(SHARED, len(pivots))))
-
+def _lists(pivots: dict[int, np.ndarray]):
     def lists(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = np.sort(described(stacked(batch.column("unit")), pivots), axis=1)
-            for group in groups:
-                keys = np.zeros(len(near), np.int64)
-                for place in group:
-                    keys = keys * len(pivots) + near[:, place]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("vec_id")], ["list", "vec_id"])
+            widths = batch.column("width").to_numpy()
+            for width in np.unique(widths).tolist():
+                part, base = batch.filter(pa.array(widths == width)), pivots[width]
+                near = np.sort(described(stacked(part.column("unit")), base), axis=1)
+                for group in combinations(range(min(NEAREST, len(base))), min(SHARED, len(base))):
+                    keys = np.zeros(len(near), np.int64)
+                    for place in group:
+                        keys = keys * len(base) + near[:, place]
+                    yield pa.RecordBatch.from_arrays([part.column("width"), pa.array(keys), part.column("vec_id")], ["width", "list", "vec_id"])
 
     return lists
 
@@ -124,10 +122,10 @@ def _forest(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.nd
     return ids[moved], least[moved]
 
 
-def _verify(pivots: np.ndarray, cosine: float):
-    size = min(SHARED, len(pivots))
-
+def _verify(every: dict[int, np.ndarray], cosine: float):
     def settle(group: pa.Table) -> pa.RecordBatch:
+        pivots = every[group.column("width")[0].as_py()]
+        size = min(SHARED, len(pivots))
         ids, own, copies = (group.column(c).to_numpy() for c in ("vec_id", "own", "copies"))
         low, high, key = (group.column(c)[0].as_py() for c in ("low", "high", "list"))
         units = stacked(group.column("unit"))
@@ -162,7 +160,7 @@ def _verify(pivots: np.ndarray, cosine: float):
             ["vec_id", "links", "root"],
         )
 
-    names = ["list", "low", "high"]
+    names = ["width", "list", "low", "high"]
 
     def verify(batches):
         held: list[pa.Table] = []
@@ -197,22 +195,24 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, pivots: int = PIVOT
         units.groupBy("key_a", "key_b").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")), "classes"
     )
     firsts = classes.select(F.col("first").alias("vec_id"), "copies")
-    distinct = stored(units.join(firsts, "vec_id").select("vec_id", "copies", "unit"), "distinct")
-    drawn = distinct.orderBy(F.xxhash64("unit"), "vec_id").limit(SAMPLE).select("unit").collect()
-    if not drawn:
-        return vectors.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    width = max(len(r[0]) for r in drawn)
-    base = choose_pivots(np.stack([np.frombuffer(r[0], np.float64) for r in drawn if len(r[0]) == width]), pivots)
-    same = distinct.where(F.length("unit") == width)
-    listed = same.select("vec_id", "unit").mapInArrow(_lists(base), "list long, vec_id long")
-    lengths = listed.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = lengths.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = listed.join(blocks, "list").withColumn("own", F.pmod(F.hash("vec_id"), "blocks"))
+    distinct = stored(units.join(firsts, "vec_id").select("vec_id", "copies", "unit", (F.length("unit") / 8).cast("int").alias("width")), "distinct")
+    # The lengths of two different vectors or more; others link with their copies only.
+    widths = [r[0] for r in distinct.groupBy("width").agg(F.count("*").alias("n")).where("n > 1").orderBy("width").select("width").collect()]
+    base = {}
+    for width in widths:
+        drawn = distinct.where(F.col("width") == width).orderBy(F.xxhash64("unit"), "vec_id").limit(SAMPLE).select("unit").collect()
+        base[width] = choose_pivots(np.stack([np.frombuffer(r[0], np.float64) for r in drawn]), pivots)
+    same = distinct.where(F.col("width").isin(widths))
+    listed = same.select("width", "vec_id", "unit").mapInArrow(_lists(base), "width int, list long, vec_id long")
+    lengths = listed.groupBy("width", "list").agg(F.count("*").alias("n")).where("n > 1")
+    blocks = lengths.select("width", "list", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    placed = listed.join(blocks, ["width", "list"]).withColumn("own", F.pmod(F.hash("vec_id"), "blocks"))
     dealt = placed.select("list", "vec_id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "list", "vec_id", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
-    work = dealt.join(same, "vec_id").repartition("list", "low", "high").sortWithinPartitions("list", "low", "high")
-    work = work.select("list", "low", "high", "own", "vec_id", "copies", "unit")
+    key = ["width", "list", "low", "high"]
+    work = dealt.join(same, "vec_id").repartition(*key).sortWithinPartitions(*key)
+    work = work.select(*key, "own", "vec_id", "copies", "unit")
     found = stored(work.mapInArrow(_verify(base, cosine), "vec_id long, links long, root long"), "links")
     parts = components(found.where("vec_id <> root").select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))

@@ -275,3 +275,17 @@ def test_articles_inside_frames(spark):
     df = spark.createDataFrame([(i, "http://f/", h) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
     rows = {r.page_id: r.text for r in pages.main_text(df).collect()}
     assert [rows[i] for i in range(len(cases))] == [t for _, t in cases]
+
+
+def test_vectors_of_several_lengths(spark):
+    random = np.random.default_rng(6)
+    rows = []
+    for width, n in ((8, 90), (5, 60), (12, 2), (64, 1)):
+        centres = random.normal(size=(4, width))
+        rows += [(len(rows) + k, [float(x) for x in centres[k % 4 if n > 2 else 0] + random.normal(scale=0.05, size=width)]) for k in range(n)]
+    rows.append((len(rows), rows[-1][1]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    counts = collections.Counter(x for pair in vector_links(rows) for x in pair)
+    found = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    assert {i: r.component_id for i, r in found.items()} == brute.components([i for i, _ in rows], vector_links(rows))
+    assert {i: r.n_links for i, r in found.items()} == {i: counts[i] for i, _ in rows}
