@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hailstat.llm import contamination, licenses, lines, minhash, packing, pages, personal, substrings, toxicity, vectors
+from hailstat.llm import (
+    alignment,
+    bytepairs,
+    contamination,
+    licenses,
+    lines,
+    minhash,
+    packing,
+    pages,
+    personal,
+    substrings,
+    toxicity,
+    variants,
+    vectors,
+)
 from hailstat.llm.tables import table
 
 
@@ -60,6 +74,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, and how often linked ids meet."""
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+def op12_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by byte-level BPE and decoded again."""
+    return bytepairs.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters or more, their near spellings and the form and root these lead to."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,6 +102,9 @@ QUERIES = {
         op8_mixture,
         op9_minhash,
         op10_toxicity,
+        op11_alignment,
+        op12_rank_queue,
+        op13_variants,
     )
 }
 ORACLE: dict[str, str] = {"op7_lines": lines.ORACLE_SQL}
