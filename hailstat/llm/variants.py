@@ -5,10 +5,12 @@
    deleted letter changes one component, one replaced letter two: words at edit distance one have vectors
    at Hamming distance at most two.
 3. PartEnum: the components are dealt to ``PARTS`` parts. Two differences lie in two parts at most, so the
-   vectors agree in all others: for every choice of two parts a word has one signature, of its components
-   outside them, and any near pair shares a signature.
+   vectors agree in all others: for every choice of two parts a word has a signature of its components
+   outside them. One edit also leaves the first three letters or the last four alone, so a signature comes in
+   two forms, with either; any near pair shares one of them.
 4. Words are equi-joined on signatures, and a pair is kept if its edit distance is one. The check is part of
-   the join, so that a bucket's pairs that are not near never leave it.
+   the join, so that a bucket's pairs that are not near never leave it; a bitmap of the letters that occur an
+   odd number of times, which one edit changes in two places at most, spares most of them the full check.
 5. A word's form is its most frequent near word if that is ``RATIO`` times as frequent; roots follow forms by
    pointer doubling. Counts grow ``RATIO``-fold with each form, so the rounds are the logarithm of a logarithm.
 
@@ -36,7 +38,9 @@ LEAST_LENGTH = 7
 LEAST_COUNT = 2
 RATIO = 10
 SLIP = 31
-PARTS = 6
+PARTS = 4
+HEAD = LEAST_LENGTH // 2  # letters; an edit behind them leaves them alone, any other one the last of TAIL
+TAIL = LEAST_LENGTH - HEAD
 HELD = 500_000  # words counted by a task before it hands them on
 SLICE = 1 << 20  # characters of a text that are counted at a time
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -91,8 +95,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
+def _affixes(words: list[str]) -> np.ndarray:
+    """Two numbers per word: of its first letters and of its last ones."""
+    cut = [[zlib.crc32(w[:HEAD].encode()), zlib.crc32(w[-TAIL:].encode()) | 1 << 32] for w in words]
+    return W.mix(np.array(cut, np.uint64).reshape(-1, 2) * W.BASE)
+
+
+def odd_letters(words: list[str]) -> np.ndarray:
+    """One bit per letter (modulo 64): whether it occurs an odd number of times."""
+    letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    sums = np.bitwise_xor.accumulate(np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << (letters & np.uint64(63))]))
+    return sums[ends] ^ sums[np.append(0, ends[:-1])]
+
+
 def signatures(words: list[str]) -> np.ndarray:
-    """One row per word: a hash of its vector outside each choice of two parts."""
+    """One row per word: hashes of its vector outside each choice of two parts, with its first and with its last letters."""
     letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.uint64)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), lengths)
@@ -109,27 +127,30 @@ def signatures(words: list[str]) -> np.ndarray:
     total = sums.sum(axis=1)
     left_out = list(combinations(range(PARTS), 2))
     salts = np.arange(1, len(left_out) + 1, dtype=np.uint64) * W.BASE
-    return np.column_stack([W.mix(total - sums[:, i] - sums[:, j] + salt) for (i, j), salt in zip(left_out, salts)])
+    affixes = _affixes(words).T
+    return np.column_stack([
+        W.mix((total - sums[:, i] - sums[:, j] + salt) ^ affix) for (i, j), salt in zip(left_out, salts) for affix in affixes
+    ])
 
 
 def _sign(batches):
     for batch in batches:
         for part in W.chunks(iter([batch]), column="word", limit=1 << 18):
             if part.num_rows:
-                signs = signatures(part.column("word").to_pylist()).astype("<i8")
+                words = part.column("word").to_pylist()
+                signs, odd = signatures(words).astype("<i8"), odd_letters(words).astype("<i8")
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(signs) + 1) * signs.shape[1], pa.int32()), pa.array(signs.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("word"), part.column("n"), lists], ["word", "n", "signatures"])
+                yield pa.RecordBatch.from_arrays([part.column("word"), part.column("n"), pa.array(odd), lists], ["word", "n", "odd", "signatures"])
 
 
 def near_words(counted: DataFrame) -> DataFrame:
     """``word, n, near, near_n`` of all ordered pairs at edit distance one among the distinct words of ``counted(word, n)``."""
-    signed = counted.mapInArrow(_sign, "word string, n long, signatures array<long>")
-    signed = signed.select("word", "n", F.explode("signatures").alias("signature"))
-    left, right = signed, signed.select("signature", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    apart = F.abs(F.length("word") - F.length("near")) <= 1
-    pairs = left.hint("merge").join(
-        right, (left["signature"] == right["signature"]) & (F.col("word") < F.col("near")) & apart & (F.levenshtein("word", "near", 1) == 1)
-    )
+    signed = counted.mapInArrow(_sign, "word string, n long, odd long, signatures array<long>")
+    signed = signed.select("word", "n", "odd", F.explode("signatures").alias("signature"))
+    right = signed.select("signature", F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("odd").alias("near_odd"))
+    few = F.bit_count(F.col("odd").bitwiseXOR(F.col("near_odd"))) <= 2
+    near = few & (F.col("word") < F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
+    pairs = signed.hint("merge").join(right, (signed["signature"] == right["signature"]) & near)
     pairs = stored(pairs.select("word", "n", "near", "near_n").distinct(), "near-words")
     return pairs.unionAll(pairs.select("near", "near_n", "word", "n"))
 
