@@ -29,6 +29,7 @@ from hailstat.llm.packing import vocabulary_path
 from hailstat.llm.tables import documents
 
 SOME = 100_000  # words encoded at a time
+WHOLE = 1 << 20  # characters of a text whose words are found in one go
 SHORT = 32  # characters of a word that is worth remembering
 KNOWN = 400_000  # words remembered by a process
 
@@ -43,9 +44,19 @@ def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     pair = [rank_of(word[i : i + 2]) for i in range(n)]  # the rank of the token at a position joined with the next one
     pair[-1] = None
     buckets: dict[int, list[int]] = {}
+    for i, rank in enumerate(pair):  # ascending positions are a heap
+        if rank is not None:
+            if rank in buckets:
+                buckets[rank].append(i)
+            else:
+                buckets[rank] = [i]
     low: dict[int, int] = {}
+    for rank in buckets:
+        low[rank >> 8] = low.get(rank >> 8, 0) | 1 << (rank & 255)
     top = 0
-    fresh = [(rank, i) for i, rank in enumerate(pair) if rank is not None]
+    for group in low:
+        top |= 1 << group
+    fresh: list[tuple[int, int]] = []
     while True:
         for rank, i in fresh:
             bucket = buckets.get(rank)
@@ -127,7 +138,7 @@ class Coder:
 
     def parts(self, text: str) -> Iterator[list[int]]:
         """The ids of the text, some words at a time."""
-        words = map(lambda found: found[0], self.pattern.finditer(text))
+        words = iter(self.pattern.findall(text)) if len(text) <= WHOLE else map(lambda found: found[0], self.pattern.finditer(text))
         while some := list(islice(words, SOME)):
             yield list(chain.from_iterable(map(self.known.__getitem__, some)))
 
