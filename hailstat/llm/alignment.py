@@ -105,38 +105,33 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of overlapping tokens, expanded group by group."""
-    from_a, from_b = np.append(0, cut_a[:-1]), np.append(0, cut_b[:-1])
-    n_a, n_b = cut_a - from_a, cut_b - from_b
+    n_a, n_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+    from_a, from_b = cut_a - n_a, cut_b - n_b
     one = np.minimum(n_a, n_b) == 1
     size = np.maximum(n_a, n_b)[one]
     step = W.gather(size, np.zeros(len(size), np.int64))
     a = np.repeat(from_a[one], size) + np.where(np.repeat(n_a[one] > 1, size), step, 0)
     b = np.repeat(from_b[one], size) + np.where(np.repeat(n_b[one] > 1, size), step, 0)
-    more_a, more_b = [a], [b]
-    for g in np.flatnonzero(~one).tolist():
-        ea, eb = ends_a[from_a[g] : cut_a[g]], ends_b[from_b[g] : cut_b[g]]
-        stops = np.union1d(ea, eb)  # between two neighbouring ends lies one token of either side
-        more_a.append(from_a[g] + np.searchsorted(ea, stops))
-        more_b.append(from_b[g] + np.searchsorted(eb, stops))
-    return np.concatenate(more_a), np.concatenate(more_b)
+    rest_a, rest_b = (W.gather(n[~one], start[~one]) for n, start in ((n_a, from_a), (n_b, from_b)))
+    stops = np.union1d(ends_a[rest_a], ends_b[rest_b])  # up to each end in the other groups lies one token of either side
+    return np.concatenate([a, np.searchsorted(ends_a, stops)]), np.concatenate([b, np.searchsorted(ends_b, stops)])
 
 
 @cache
-def _written(size: int, mark: str) -> list[str]:
-    return [f"{i}{mark}" for i in range(size)]
+def _written(size: int) -> list[str]:
+    return [f"{i}{mark}" for mark in ",|;" for i in range(size)]
 
 
 def written(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int) -> str:
     """``a1,a2|b1;a3|b2,b3``: the groups' ids in decimal."""
-    table = _written(size, ",") + _written(size, "|") + _written(size, ";")
+    table = _written(size)
     code_a, code_b = a.copy(), b.copy()
     code_a[cut_a - 1] += size
     code_b[cut_b - 1] += 2 * size
-    group_a = np.searchsorted(cut_a, np.arange(len(a)), side="right")
-    group_b = np.searchsorted(cut_b, np.arange(len(b)), side="right")
+    n_a, n_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
     codes = np.empty(len(a) + len(b), np.int64)
-    codes[np.arange(len(a)) + np.append(0, cut_b)[group_a]] = code_a
-    codes[np.arange(len(b)) + cut_a[group_b]] = code_b
+    codes[np.arange(len(a)) + np.repeat(cut_b - n_b, n_a)] = code_a
+    codes[np.arange(len(b)) + np.repeat(cut_a, n_b)] = code_b
     return "".join(map(table.__getitem__, codes.tolist()))[:-1]
 
 
