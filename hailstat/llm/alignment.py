@@ -2,6 +2,9 @@
 
 1. Each text is encoded by both tokenizers. The tokens' byte lengths give cumulative ends; two dictionaries
    map an end to the token's index, the intersection of their key sets, sorted, cuts both id lists into groups.
+   No token of either crosses a single space between other characters, so such a space always begins a group:
+   the distinct words of a chunk of documents are aligned once, as one text, and a document's groups are those of
+   its words. Texts with other white space around a space are aligned whole.
 2. Links are expanded group by group: a group with one token on a side links it with all of the other side,
    any other group links the tokens whose byte ranges overlap.
 3. Corpus counts: how many documents hold an id pair linked, and the highest count of each A id.
@@ -18,10 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +38,11 @@ from hailstat.llm.tables import documents, stored
 
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 6 << 20
+SOME = 200  # words in a text
+# Where a space does not stand alone between other characters, and the sign that the pieces write a space with.
+BLANK = "[\\s\\pZ\\x{1c}-\\x{1f}\\x{85}]"
+ODD = f"^{BLANK}|{BLANK}$|{BLANK} | {BLANK}|\u2581"
 HIGH = np.uint64(32)
 
 
@@ -68,13 +79,15 @@ class ByteLevel:
 
 
 class Pieces:
-    """A piece vocabulary with byte fallback; it puts a space before the text itself."""
+    """A piece vocabulary with byte fallback, no piece of which goes on behind a space; it puts one before the text itself."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.coder = sentencepiece.SentencePieceProcessor(model_file=path)
         self.tokens = {i: self._bytes(i) for i in range(self.coder.get_piece_size())}
+        if any(b" " in token.lstrip(b" ") for token in self.tokens.values()):
+            raise ValueError("pieces that go on behind a space are not supported")
 
     def _bytes(self, i: int) -> bytes:
         piece = self.coder.id_to_piece(i)
@@ -83,6 +96,11 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return self.coder.encode(text, num_threads=1)
 
+    def encode_words(self, words: list[str]) -> list[int]:
+        """The ids of words with a space between them; in short texts, as a long one costs more than its parts."""
+        texts = [" ".join(words[i : i + SOME]) for i in range(0, len(words), SOME)]
+        return list(chain.from_iterable(self.coder.encode(texts, num_threads=1)))
+
 
 @cache
 def _coders(first: str, second: str) -> tuple:
@@ -122,8 +140,8 @@ def _written(size: int) -> list[str]:
     return [f"{i}{mark}" for mark in ",|;" for i in range(size)]
 
 
-def written(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups' ids in decimal."""
+def parts(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int) -> list[str]:
+    """The ids in decimal, group by group, each with the mark behind it: ``,``, ``|`` or ``;``."""
     table = _written(size)
     code_a, code_b = a.copy(), b.copy()
     code_a[cut_a - 1] += size
@@ -132,7 +150,12 @@ def written(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray,
     codes = np.empty(len(a) + len(b), np.int64)
     codes[np.arange(len(a)) + np.repeat(cut_b - n_b, n_a)] = code_a
     codes[np.arange(len(b)) + np.repeat(cut_a, n_b)] = code_b
-    return "".join(map(table.__getitem__, codes.tolist()))[:-1]
+    return list(map(table.__getitem__, codes.tolist()))
+
+
+def written(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, size: int) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the groups' ids in decimal."""
+    return "".join(parts(a, b, cut_a, cut_b, size))[:-1]
 
 
 def aligned(text: str | None, first: str, second: str) -> tuple | None:
@@ -150,6 +173,79 @@ def aligned(text: str | None, first: str, second: str) -> tuple | None:
     return a, b, cut_a, cut_b, *links(ends_a, ends_b, cut_a, cut_b)
 
 
+@dataclass
+class AlignedWords:
+    """Distinct words behind a space each: numbers per word, its groups in writing, and its linked id pairs."""
+
+    good: np.ndarray  # whether the bytes agree
+    counts: np.ndarray  # a row per word: tokens of both sides, groups, links
+    written: list[str]
+    first: np.ndarray  # where the links of each word begin, and their number
+    pairs: np.ndarray
+
+
+def align_words(words: list[str], first: str, second: str) -> AlignedWords:
+    one, size_a, two, size_b = _coders(first, second)
+    good = np.ones(len(words), bool)
+    a, b = one.encode(" ".join(words)), two.encode_words(words)
+    whole = (" " + " ".join(words)).encode()
+    if b"".join(map(one.tokens.__getitem__, a)) != whole or b"".join(map(two.tokens.__getitem__, b)) != whole:
+        good = np.array([aligned(w, first, second) is not None for w in words])
+        kept = [w for w, g in zip(words, good) if g]
+        a, b = (one.encode(" ".join(kept)), two.encode_words(kept)) if kept else ([], [])
+    n = int(good.sum())
+    word_ends = np.cumsum([len(w.encode()) + 1 for w, g in zip(words, good) if g], dtype=np.int64)
+    a, b = np.array(a, np.int64), np.array(b, np.int64)
+    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    cut_a, cut_b = groups(ends_a, ends_b)
+    link_a, link_b = links(ends_a, ends_b, cut_a, cut_b)
+    word_of = np.searchsorted(word_ends, ends_a)[link_a]
+    order = np.argsort(word_of, kind="stable")
+    last = [np.searchsorted(ends, word_ends) + 1 for ends in (ends_a, ends_b, ends_a[cut_a - 1])]
+    n_a, n_b, n_groups = (np.diff(x, prepend=0) for x in last)
+    counts = np.zeros((len(words), 4), np.int64)
+    counts[good] = np.column_stack([n_a, n_b, n_groups, np.bincount(word_of, minlength=n)]) if n else 0
+    told = parts(a, b, cut_a, cut_b, max(len(size_a), len(size_b)))
+    stops = np.cumsum(n_a + n_b).tolist()
+    texts = iter(["".join(told[i:j])[:-1] for i, j in zip([0, *stops], stops)])
+    pairs = (a[link_a].astype(np.uint64) << HIGH | b[link_b].astype(np.uint64))[order]
+    return AlignedWords(good, counts, [next(texts) if g else "" for g in good], np.append(0, np.cumsum(counts[:, 3])), pairs)
+
+
+def align_texts(column: pa.Array, first: str, second: str) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
+    """Per text of a chunk: its numbers and digest, its linked id pairs and how often it holds each."""
+    none = (0, 0, 0, 0, ""), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size = max(len(t) for t in _coders(first, second)[1::2])
+    column = pc.fill_null(column, "")
+    odd = pc.or_(pc.match_substring_regex(column, ODD), pc.equal(pc.binary_length(column), 0)).to_numpy(zero_copy_only=False)
+    even = np.flatnonzero(~odd)
+    lists = pc.split_pattern(column.take(pa.array(even)), " ")
+    coded = lists.flatten().dictionary_encode()
+    own = align_words(coded.dictionary.to_pylist(), first, second) if len(even) else None
+    index, bounds = coded.indices.to_numpy(), lists.offsets.to_numpy() - (lists.offsets[0].as_py() if len(even) else 0)
+    at = 0
+    for r in range(len(column)):
+        if odd[r]:
+            found = aligned(column[r].as_py(), first, second)
+            if found is None:
+                yield none
+                continue
+            a, b, cut_a, cut_b, link_a, link_b = found
+            numbers, text = (len(a), len(b), len(cut_a), len(link_a)), written(a, b, cut_a, cut_b, size)
+            linked = a[link_a].astype(np.uint64) << HIGH | b[link_b].astype(np.uint64)
+        else:
+            words = index[bounds[at] : bounds[at + 1]]
+            at += 1
+            if not own.good[words].all():
+                yield none
+                continue
+            numbers = own.counts[words].sum(axis=0).tolist()
+            text = ";".join(map(own.written.__getitem__, words.tolist()))
+            linked = own.pairs[W.gather(own.counts[words, 3], own.first[words])]
+        pairs, often = np.unique(linked, return_counts=True)
+        yield (*numbers, hashlib.sha256(text.encode()).hexdigest()), pairs, often
+
+
 ALIGNED = "chunk long, kind int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, at binary, times binary, pairs array<long>, documents array<long>"
 NAMES = [field.split()[0] for field in ALIGNED.split(", ")]
 
@@ -160,21 +256,9 @@ def _align(first: str, second: str):
     def align(batches):
         number = TaskContext.get().partitionId() << 32
         for part in W.chunks(batches, limit=CHUNK_BYTES):
-            size = max(len(t) for t in _coders(first, second)[1::2])
-            told, codes, times = [], [], []
-            for text in part.column("text"):
-                found = aligned(text.as_py(), first, second)
-                if found is None:
-                    told.append((0, 0, 0, 0, ""))
-                    codes.append(np.zeros(0, np.uint64))
-                    times.append(np.zeros(0, np.int64))
-                    continue
-                a, b, cut_a, cut_b, link_a, link_b = found
-                digest = hashlib.sha256(written(a, b, cut_a, cut_b, size).encode()).hexdigest()
-                told.append((len(a), len(b), len(cut_a), len(link_a), digest))
-                pairs, often = np.unique(a[link_a].astype(np.uint64) << HIGH | b[link_b].astype(np.uint64), return_counts=True)
-                codes.append(pairs)
-                times.append(often)
+            if not part.num_rows:
+                continue
+            told, codes, times = zip(*align_texts(part.column("text"), first, second))
             known, at, docs = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
             at = np.split(at.astype("<u4"), np.cumsum([len(c) for c in codes])[:-1])
             if len(known):
