@@ -24,10 +24,11 @@ INTERVAL = "1 second"
 
 
 def start(
-    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, name: str | None = None
-) -> StreamingQuery:
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False,
+    name: str | None = None, mode: str = "append",
+) -> StreamingQuery:
     """Run ``handle`` per micro-batch, every second or once over all there is."""
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime=INTERVAL).start()
