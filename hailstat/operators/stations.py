@@ -75,11 +75,16 @@ def district_edges(districts: DataFrame) -> DataFrame:
 
     Blank polygons are left out, and those with a malformed vertex, which are in ``rejected_districts``.
     """
-    rings = districts.withColumn("ring", parse_ring(F.col("polygon"))).where(_whole(F.col("ring")))
-    parsed = rings.select("citycode", F.col("name").alias("district_name"), ring_edges(F.col("ring")).alias("edges"))
+    parsed = district_rings(districts).select("citycode", "district_name", ring_edges(F.col("ring")).alias("edges"))
     return parsed.where(F.size("edges") > 0)
 
 
+def district_rings(districts: DataFrame) -> DataFrame:
+    """Polygon texts as rings: citycode, district_name, ring; malformed ones are left out."""
+    rings = districts.withColumn("ring", parse_ring(F.col("polygon"))).where(_whole(F.col("ring")))
+    return rings.select("citycode", F.col("name").alias("district_name"), "ring")
+
+
 def _whole(ring: Column) -> Column:
     return F.forall(ring, lambda p: p["lng"].isNotNull() & p["lat"].isNotNull())
 
