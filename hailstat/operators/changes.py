@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.functions.keys import salted_key, timed_key
+from hailstat.functions.keys import timed_key, with_salted_key
 from hailstat.sources.tables import latest_per_key, merge_rows
 
 # The change types that are applied. Deletes are left out.
@@ -34,7 +34,7 @@ def keyed_changes(changes: DataFrame) -> DataFrame:
     """
     id_, time = F.col(_id_column(changes)), _key_time(changes)
     kept = changes.where(F.col("type").isin(*APPLIED) & _has_key(changes))
-    return kept.withColumn("row_key", salted_key(timed_key(id_, time))).withColumn("create_day", F.to_date(time))
+    return with_salted_key(kept, timed_key(id_, time), "row_key").withColumn("create_day", F.to_date(time))
 
 
 def unkeyed_changes(changes: DataFrame) -> DataFrame:

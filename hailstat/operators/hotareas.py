@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hailstat.functions import grid
+from hailstat.functions.order import time_and_text
 from hailstat.periods import between, since
 
 # Fixed values of the report.
@@ -25,14 +26,12 @@ def with_cell(trips: DataFrame, res: int = HOT_RESOLUTION) -> DataFrame:
 def hot_cells(trips: DataFrame, start: Day, end: Day, res: int = HOT_RESOLUTION) -> DataFrame:
     """Per cell, the trips of ``[start, end)`` and the area code of the earliest one.
 
-    One aggregate: equal to numbering the trips of a cell twice by window, but folded before the
-    shuffle. Trips at the same time are ordered by id.
+    Equal to numbering the trips of a cell twice by window, but folded before the shuffle: first per cell and area
+    code, by numbers alone, so that rows are hashed and not sorted; then per cell, over its few area codes.
     """
     kept = with_cell(trips.where(between(F.col("create_time"), start, end)), res)
-    per_cell = kept.groupBy("cell").agg(
-        F.min_by("begin_address_code", F.struct("create_time", "id")).alias("begin_address_code"),
-        F.count("*").alias("count"),
-    )
+    per_area = kept.groupBy("cell", "begin_address_code").agg(F.min(_rank()).alias("first"), F.count("*").alias("n"))
+    per_cell = per_area.groupBy("cell").agg(_least("first").alias("begin_address_code"), F.sum("n").alias("count"))
     return per_cell.select(
         "begin_address_code",
         grid.lat_lng_text(grid.cell_center(F.col("cell"))).alias("coordinate"),
@@ -42,6 +41,17 @@ def hot_cells(trips: DataFrame, start: Day, end: Day, res: int = HOT_RESOLUTION)
     )
 
 
+def _rank() -> Column:
+    """Trips by time; at the same time by the first eight bytes of the id, and then by area code."""
+    return time_and_text(F.col("create_time"), F.col("id"))
+
+
+def _least(rank: str) -> Column:
+    """The area code of least rank among the rows of a cell, one per area code; a null rank does not count."""
+    areas = F.collect_list(F.when(F.col(rank).isNotNull(), F.struct(rank, "begin_address_code")))
+    return F.array_min(areas)["begin_address_code"]
+
+
 def hot_cells_by_window(trips: DataFrame, start: Day, end: Day, res: int = HOT_RESOLUTION) -> DataFrame:
     """The same by two row numbers; kept as a check of ``hot_cells``, not for large tables."""
     kept = with_cell(trips.where(between(F.col("create_time"), start, end)), res)
@@ -78,15 +88,17 @@ def hot_pair(trips: DataFrame, now: Span, before: Span, res: int = HOT_RESOLUTIO
     time = F.col("create_time")
     in_now, in_before = between(time, *now), between(time, *before)
 
-    def code(inside: Column) -> Column:
-        order = F.when(inside, F.struct("create_time", "id"))
-        return F.min_by("begin_address_code", order)
-
-    return with_cell(trips.where(in_now | in_before), res).groupBy("cell").agg(
-        code(in_now).alias("code_now"),
-        F.count_if(in_now).alias("count_now"),
-        code(in_before).alias("code_before"),
-        F.count_if(in_before).alias("count_before"),
+    per_area = with_cell(trips.where(in_now | in_before), res).groupBy("cell", "begin_address_code").agg(
+        F.min(F.when(in_now, _rank())).alias("first_now"),
+        F.count_if(in_now).alias("now"),
+        F.min(F.when(in_before, _rank())).alias("first_before"),
+        F.count_if(in_before).alias("before"),
+    )
+    return per_area.groupBy("cell").agg(
+        _least("first_now").alias("code_now"),
+        F.sum("now").alias("count_now"),
+        _least("first_before").alias("code_before"),
+        F.sum("before").alias("count_before"),
     )
 
 
@@ -169,10 +181,9 @@ def hot_order_report(trips: DataFrame, now: Span, before: Span) -> DataFrame:
 def heat_map(trips: DataFrame, day: Day, res: int = HOT_RESOLUTION) -> DataFrame:
     """Per cell, the trips since a day, the area code of the latest, and the centre of its outline."""
     kept = with_cell(trips.where(since(F.col("create_time"), day)), res)
-    per_cell = kept.groupBy("cell").agg(
-        F.max_by("begin_address_code", F.struct("create_time", "id")).alias("begin_address_code"),
-        F.count("*").alias("count"),
-    )
+    # The latest has the least negative rank.
+    per_area = kept.groupBy("cell", "begin_address_code").agg((-F.max(_rank())).alias("last"), F.count("*").alias("n"))
+    per_cell = per_area.groupBy("cell").agg(_least("last").alias("begin_address_code"), F.sum("n").alias("count"))
     # Columns of their own, so that the outline is made once and not once per use.
     outlined = per_cell.withColumn("outline", grid.cell_boundary(F.col("cell")))
     placed = outlined.withColumn("center", grid.array_centroid(F.col("outline")))

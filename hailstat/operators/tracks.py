@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hailstat.functions.order import seconds_and_arrival
 from hailstat.functions.times import SECOND_FORMAT, day_of, format_seconds, hour_of
 from hailstat.sources.lines import END_MARK, GPS_CITY
 
@@ -84,9 +86,23 @@ def order_span(gps: DataFrame) -> DataFrame:
     """First and last time and position per order; of points at the same time the first arrival.
 
     The points of an order mostly arrive together, so folding them before the shuffle leaves a few
-    rows per order, however long it is.
+    rows per order, however long it is. An arrival order that is a long makes one number with the time, and
+    the fold hashes; a wider one (``topics.ARRIVAL``) needs the states of ``order_state``.
     """
-    return span_of(order_state(gps))
+    if not isinstance(gps.schema["seq"].dataType, T.IntegralType):
+        return span_of(order_state(gps))
+    early = seconds_and_arrival(F.col("ts"), F.col("seq"))
+    late = seconds_and_arrival(F.col("ts"), -F.col("seq").cast("decimal(20,0)"))
+    named = {"Lat": "lat", "Lng": "lng"}
+    ends = _points(gps).groupBy("order_id").agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"),
+        *(F.min_by(c, early).alias(f"getOn{n}") for n, c in named.items()),
+        *(F.max_by(c, late).alias(f"getOf{n}") for n, c in named.items()),
+    )
+    return ends.select(
+        F.lit(GPS_CITY).alias("cityCode"), F.col("order_id").alias("orderId"), (F.col("first") * 1000).alias("startTime"),
+        (F.col("last") * 1000).alias("endTime"), "getOnLat", "getOnLng", "getOfLat", "getOfLng",
+    )
 
 
 def live_of(state: DataFrame) -> DataFrame:
@@ -95,27 +111,39 @@ def live_of(state: DataFrame) -> DataFrame:
     )
 
 
+def _city_columns(df: DataFrame) -> list[str]:
+    return ["city_code"] if "city_code" in df.columns else []
+
+
 def hours_of(first_times: DataFrame) -> DataFrame:
-    """Orders per day and hour from their first time (``ts``)."""
+    """Orders per day and hour, and per city where there is one, from their first time (``ts``)."""
     ts = F.col("ts")
-    return first_times.groupBy(day_of(ts).alias("day"), hour_of(ts).alias("hour")).agg(
+    return first_times.groupBy(*_city_columns(first_times), day_of(ts).alias("day"), hour_of(ts).alias("hour")).agg(
         F.count("*").alias("order_count")
     )
 
 
 def hour_counts(gps: DataFrame) -> DataFrame:
-    """Orders per day and hour; an order counts once, in the hour of its first arriving point."""
-    return hours_of(_points(gps).groupBy("order_id").agg(F.min_by("ts", "seq").alias("ts")))
+    """Orders per day and hour; an order counts once, in the hour of its first arriving point.
+
+    With a ``city_code`` (``lines.with_city``) the counts are per city, and an order counts once in each.
+    """
+    return hours_of(_points(gps).groupBy(*_city_columns(gps), "order_id").agg(F.min_by("ts", "seq").alias("ts")))
 
 
 def hour_counts_of(state: DataFrame) -> DataFrame:
     return hours_of(state.where(F.col("first_seen").isNotNull()).select(F.col("first_seen.ts").alias("ts")))
 
 
-def hour_board(counts: DataFrame, day: str) -> DataFrame:
-    """Hourly counts of one day under the names of the live board; the feed has one city."""
-    name = F.concat_ws("_", F.lit(GPS_CITY), "day", F.col("hour").cast("string"))
-    return counts.where(F.col("day") == day).select(name.alias("field"), "order_count")
+def hour_board(counts: DataFrame, day: str, city: str | None = None) -> DataFrame:
+    """Hourly counts of one day under the names of the live board, of one city or of all.
+
+    Counts without a city are those of the feed's only one.
+    """
+    code = F.col("city_code") if _city_columns(counts) else F.lit(GPS_CITY)
+    name = F.concat_ws("_", code, "day", F.col("hour").cast("string"))
+    shown = counts.where(F.col("day") == day)
+    return (shown.where(code == city) if city else shown).select(name.alias("field"), "order_count")
 
 
 def overview(counts: DataFrame, stored: DataFrame) -> DataFrame:
@@ -133,14 +161,17 @@ def latest_point(gps: DataFrame) -> DataFrame:
     )
 
 
+def message() -> Column:
+    """What an order's listeners get for an event: ``lng,lat`` of a point, the end mark as it came."""
+    return F.when(F.col("is_end"), END_MARK).otherwise(F.concat_ws(",", "lng", "lat")).alias("message")
+
+
 def track_feed(gps: DataFrame) -> DataFrame:
     """Messages of every order in arrival order: ``lng,lat`` per point, the end mark as it came.
 
     Rows, not lists: sorting by (order, arrival) spreads one very long order over several tasks.
     """
-    point = F.concat_ws(",", "lng", "lat")
-    message = F.when(F.col("is_end"), END_MARK).otherwise(point).alias("message")
-    return gps.select("order_id", "seq", message).orderBy("order_id", "seq")
+    return gps.select("order_id", "seq", message()).orderBy("order_id", "seq")
 
 
 def feed_for(requests: DataFrame, gps: DataFrame) -> DataFrame:

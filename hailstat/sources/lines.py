@@ -171,11 +171,20 @@ def parse_gps_points(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_city(lines: DataFrame, cities: dict[str, str]) -> DataFrame:
+    """Lines with the ``city_code`` of their topic; that of a topic without one is null."""
+    code = F.lit(None).cast("string")
+    for topic, city in cities.items():
+        code = F.when(F.col("topic") == topic, F.lit(city)).otherwise(code)
+    return lines.withColumn("city_code", code)
+
+
 def parse_gps_events(lines: DataFrame) -> DataFrame:
     """Events for the live state: points of exactly five fields, and end marks of any length.
 
-    An end mark carries its order only; driver, time and position are null.
+    An end mark carries its order only; driver, time and position are null. A ``city_code`` is kept.
     """
+    city = ["city_code"] if "city_code" in lines.columns else []
     counted = (F.size("p") == 5) | (_has_mark() & (F.size("p") > 4))
     fields = {"driver_id": _part(0), **_numbers()}
     return _where_valid(
@@ -184,6 +193,7 @@ def parse_gps_events(lines: DataFrame) -> DataFrame:
         _part(1).alias("order_id"),
         *[F.when(~_is_end(), value).alias(name) for name, value in fields.items()],
         _is_end().alias("is_end"),
+        *city,
     )
 
 

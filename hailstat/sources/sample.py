@@ -144,6 +144,18 @@ def gps_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_gps_lines(table(spark, sf_dir, "events"))
 
 
+# Two topics and the codes of their cities, as a configuration would name them.
+TOPIC_CITIES = {"east_gps_topic": "075", "west_gps_topic": "0898"}
+
+
+def city_gps_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GPS lines of two topics: orders of odd users come through the second one."""
+    events = table(spark, sf_dir, "events")
+    east, west = TOPIC_CITIES
+    topic = F.when(F.col("user_id") % 2 == 0, F.lit(east)).otherwise(F.lit(west))
+    return as_gps_lines(events).join(events.select(F.col("event_id").alias("seq"), topic.alias("topic")), "seq")
+
+
 def gps_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State events as the line parser would give them."""
     gps = as_gps(table(spark, sf_dir, "events"))
@@ -369,6 +381,36 @@ def task_end_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.to_json(line).alias("value"))
 
 
+def job_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as jobs of an event log, each of two stages: the first runs, and fails for some, the second is skipped.
+
+    Every seventh event is also a block manager that stays, every third a streaming batch.
+    """
+    n, t = F.col("event_id"), F.unix_millis("ts")
+    begin, took = t + n % 7 * 1000, n % 50 * 60_000
+    failure = F.when(F.col("event_type") == "error", F.lit("lost"))
+    stage = F.struct((n * 2).alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"), begin.alias("Submission Time"))
+    ended = F.struct((n * 2).alias("Stage ID"), begin.alias("Submission Time"), (begin + took).alias("Completion Time"), failure.alias("Failure Reason"))
+    manager = F.struct(n.cast("string").alias("Executor ID"), F.lit("host").alias("Host"), F.lit(1).alias("Port"))
+    report = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"), F.struct((n % 90 * 1000).alias("triggerExecution")).alias("durationMs")
+    )
+
+    def line(kind: str, **parts: Column) -> Column:
+        return F.to_json(F.struct(F.lit(kind).alias("Event"), *(v.alias(c.replace("_", " ")) for c, v in parts.items())))
+
+    listener = "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent"
+    made = F.array(
+        line("SparkListenerJobStart", Job_ID=n, Submission_Time=t, Stage_IDs=F.array(n * 2, n * 2 + 1)),
+        line("SparkListenerStageSubmitted", Stage_Info=stage),
+        line("SparkListenerStageCompleted", Stage_Info=ended),
+        line("SparkListenerJobEnd", Job_ID=n, Completion_Time=t + 5_400_000),
+        F.when(n % 7 == 0, line("SparkListenerBlockManagerAdded", Block_Manager_ID=manager, Maximum_Memory=F.lit(1 << 30), Timestamp=t)),
+        F.when(n % 3 == 0, line(listener, progress=report)),
+    )
+    return table(spark, sf_dir, "events").select(F.explode(made).alias("value")).where("value IS NOT NULL")
+
+
 def progress_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as progress reports of streaming batches, one second apart by event id."""
     n = F.col("event_id")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hailstat.functions import keys
 
@@ -112,6 +114,30 @@ def upsert(
         newest.unpersist()
 
 
+def append_changes(changes: DataFrame, path: str, key: Sequence[str], order: Sequence[str], partition: str, buckets: int = 8) -> None:
+    """Adds the newest row per key of ``changes`` to a table that ``read_newest`` folds; nothing stored is touched.
+
+    Files lie by ``partition``, a function of the key, and by a bucket of the key. A write that is killed
+    leaves the table as it was or with some of its rows, and repeating it adds what folds to the same.
+    """
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+    rows = latest_per_key(changes, key, order).withColumn("bucket", bucket)
+    rows.hint("rebalance", F.col(partition), F.col("bucket")).write.mode("append").partitionBy(partition, "bucket").parquet(path)
+
+
+def read_newest(spark: SparkSession, paths: Sequence[str], like: StructType, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row per key of tables written by ``append_changes``, with the columns of ``like``."""
+    rows = [spark.read.schema(like).parquet(path).select(*like.fieldNames()) for path in paths]
+    return latest_per_key(reduce(DataFrame.unionByName, rows), key, order)
+
+
+def compact_changes(
+    spark: SparkSession, paths: Sequence[str], target: str, like: StructType, key: Sequence[str], order: Sequence[str], partition: str
+) -> None:
+    """Folds tables into a new one; readers move to it when it is finished, and the old ones can go then."""
+    append_changes(read_newest(spark, paths, like, key, order), target, key, order, partition)
+
+
 def write_partitioned(df: DataFrame, path: str, partition: str, overwrite: str) -> None:
     """Replace all partitions (``static``) or only those of ``df`` (``dynamic``).
 
@@ -155,20 +181,28 @@ def filter_and_save(table: DataFrame, condition: Column, path: str, row_key: str
 
 
 def presplit(df: DataFrame, key: Column, regions: int = keys.REGIONS, splits: int = 1) -> DataFrame:
-    """Rows placed by the region of their key.
+    """Rows placed by the region of their key: region ``r`` is task ``r``, and no task has rows of two.
 
-    One task per region cannot hold a large table, so each region may be cut into ``splits``
-    tasks by a second hash of the same key.
+    One task per region cannot hold a large table, so each region may be cut into ``splits`` tasks, from
+    ``r * splits`` on, by what the region leaves of the hash.
     """
-    placed = df.withColumn("region", keys.region(key, regions))
-    if splits == 1:
-        return placed.repartition(regions, "region")
-    return placed.repartition(regions * splits, F.col("region"), F.pmod(F.xxhash64(key), F.lit(splits)))
+    def task(text: Column, number: Column) -> Column:
+        rest = F.floor(number.bitwiseAND(F.lit(0x7FFFFFFF)) / regions) % splits
+        return (keys.region_of(number, regions) * splits + rest).cast("int").alias("__task")
+
+    placed = keys.with_hash(df, key, lambda text, number: keys.region_of(number, regions).alias("region"), task)
+    return placed.repartitionById(regions * splits, F.col("__task")).drop("__task")
+
+
+def placement(placed: DataFrame) -> DataFrame:
+    """Rows per task and region, as they lie."""
+    return placed.groupBy(F.spark_partition_id().alias("task"), "region").agg(F.count("*").alias("num_rows"))
 
 
 def region_load(df: DataFrame, key: Column, regions: int = keys.REGIONS) -> DataFrame:
     """Rows and distinct keys per region, to see how evenly the split keys spread a table."""
     per_key = df.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
-    return per_key.groupBy(keys.region(F.col("key"), regions).alias("region")).agg(
+    placed = keys.with_hash(per_key, F.col("key"), lambda text, number: keys.region_of(number, regions).alias("region"))
+    return placed.groupBy("region").agg(
         F.sum("n").alias("num_rows"), F.count("*").alias("num_keys")
     )
