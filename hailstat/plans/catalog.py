@@ -14,7 +14,9 @@ from hailstat.operators import (
     drivers,
     hotareas,
     monitor,
+    quadtiles,
     riders,
+    snapshots,
     stations,
     tracks,
     trips,
@@ -22,8 +24,8 @@ from hailstat.operators import (
 from hailstat.periods import GRAINS, Period, since
 from hailstat.plans import reports
 from hailstat.session import pin_time_zone, shared_folder
-from hailstat.sources import lines, sample, tables
-from hailstat.streaming import jobs, topics
+from hailstat.sources import lines, sample, tables, track_store
+from hailstat.streaming import jobs, live, topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,7 @@ RETENTION_DAY = ("2024-01-02", "2024-01-30")
 RETENTION_WEEK = ("2024-01-01", "2024-01-29")
 RETENTION_MONTH = ("2024-01-01", "2024-01-30")
 BOARD_DAY = "2024-01-15"
+BOARD_CITY = "0898"
 TRACK_BOUNDS = (1704412800, 1705708800)
 POINT_BOUNDS = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
 STATION_CITY = "1203"
@@ -166,12 +169,12 @@ def _src_stream_topics(spark, sf_dir):
 
 @query("sink_upsert")
 def _sink_upsert(spark, sf_dir):
-    """Trip changes written in two halves; the second replaces rows of the first."""
+    """Trip changes added in two halves; the rows of the second stand in for those of the first when they are read."""
     folder = shared_folder(spark, "upsert")
     rows = changes.keyed_changes(_order_changes(spark, sf_dir))
     for half in (rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")):
-        tables.upsert(spark, half, folder, ["row_key"], changes.NEWEST, "create_day")
-    stored = spark.read.schema(rows.schema).parquet(folder)
+        tables.append_changes(half, folder, ["row_key"], changes.NEWEST, "create_day")
+    stored = tables.read_newest(spark, [folder], rows.schema, ["row_key"], changes.NEWEST)
     return stored.select("row_key", "id", _second("create_time"), "ts", "seq", "type", "pay_all")
 
 
@@ -224,18 +227,19 @@ def _key_business(spark, sf_dir):
 
 @query("key_salted")
 def _key_salted(spark, sf_dir):
-    key = keys.salted_key(keys.business_key(F.col("id"), F.col("create_time")))
-    return _business_rows(spark, sf_dir).select("id", key.alias("row_key"))
+    key = keys.business_key(F.col("id"), F.col("create_time"))
+    return keys.with_salted_key(_business_rows(spark, sf_dir), key, "row_key").select("id", "row_key")
 
 
 @query("key_hash_prefix")
 def _key_hash_prefix(spark, sf_dir):
     joined = keys.plain_key(F.col("id"), F.col("create_time"))
-    return _business_rows(spark, sf_dir).select(
-        "id",
-        keys.hash_prefix(joined).alias("prefix"),
-        F.hex(keys.hash_prefixed_key(F.col("id"), F.col("create_time"))).alias("row_key_hex"),
-    )
+    return keys.with_hash(
+        _business_rows(spark, sf_dir),
+        joined,
+        lambda text, number: keys.prefix_of(number).alias("prefix"),
+        lambda text, number: F.hex(keys.prefixed(text, keys.prefix_of(number))).alias("row_key_hex"),
+    ).select("id", "prefix", "row_key_hex")
 
 
 @query("key_md5_prefix")
@@ -257,10 +261,16 @@ def _part_presplit(spark, sf_dir):
 
 @query("part_placed")
 def _part_placed(spark, sf_dir):
-    """Rows per region after the physical placement, and the tasks that hold more than one region."""
+    """Rows per region after the physical placement."""
+    return _split_in_four(spark, sf_dir).groupBy("region").agg(F.count("*").alias("num_rows"))
+
+
+def _split_in_four(spark, sf_dir):
     key = keys.business_key(F.col("id"), F.col("create_time"))
-    placed = tables.presplit(_business_rows(spark, sf_dir), key, splits=4)
-    return placed.groupBy("region").agg(F.count("*").alias("num_rows"))
+    return tables.presplit(_business_rows(spark, sf_dir), key, splits=4)
+
+
+query("part_tasks")(lambda s, d: tables.placement(_split_in_four(s, d)))
 
 
 @query("fn_date_bucket")
@@ -554,6 +564,21 @@ def _v_geojson_districts(spark, sf_dir):
     return points.select("district_name", "part", "ring_no", "position", "p.lng", "p.lat")
 
 
+@query("v_geojson_join")
+def _v_geojson_join(spark, sf_dir):
+    """Stations in the districts of GeoJSON documents, through quadtree tiles."""
+    rings = stations.parse_geojson(sample.geojson_documents(spark, sf_dir))
+    tiles = quadtiles.quad_tiles(quadtiles.edge_rows(rings))
+    return _station_columns(quadtiles.in_districts(_stations(spark, sf_dir), tiles), "district_name")
+
+
+@query("v_district_tiles")
+def _v_district_tiles(spark, sf_dir):
+    """The district join through quadtree tiles."""
+    tiles = quadtiles.quad_tiles(quadtiles.edge_rows(stations.district_rings(sample.districts(spark))))
+    return _station_columns(quadtiles.in_districts(_stations(spark, sf_dir), tiles), "district_name")
+
+
 # --- change log and GPS ----------------------------------------------------------------------
 
 
@@ -635,6 +660,20 @@ def _g_stream_points(spark, sf_dir):
     return tracks.point_store(jobs.read_points(spark, f"{folder}/points"))
 
 
+LIVE_HORIZON_DAYS = 7
+
+
+def _live_stream(spark, sf_dir):
+    """The stateful stream over all events, run to its end."""
+    folder = shared_folder(spark, "live")
+    stream = live.LiveOrders(f"{folder}/orders", f"{folder}/checkpoint", f"{LIVE_HORIZON_DAYS} days")
+    stream.start(sample.as_gps_lines(_event_stream(spark, sf_dir)), once=True).awaitTermination()
+    return stream
+
+
+query("g_live_stream")(lambda s, d: _live_stream(s, d).live(s))
+query("g_span_stream")(lambda s, d: _live_stream(s, d).spans(s))
+query("g_hour_stream")(lambda s, d: _live_stream(s, d).hours(s))
 query("g_live_orders")(lambda s, d: tracks.live_orders(_gps(s, d)))
 query("g_order_span")(lambda s, d: tracks.order_span(_gps(s, d)))
 query("g_hour_count")(lambda s, d: tracks.hour_counts(_gps(s, d)))
@@ -653,6 +692,17 @@ def _g_feed_requests(spark, sf_dir):
     return tracks.feed_for(asked, _gps(spark, sf_dir))
 
 
+def _stored_events(spark, sf_dir):
+    """The stored events, and the order that has most of them."""
+    folder = shared_folder(spark, "tracks")
+    track_store.append_events(_gps(spark, sf_dir), folder)
+    stored = track_store.read_events(spark, folder)
+    most = stored.groupBy("order_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "order_id")
+    return stored, (most.first() or [""])[0]
+
+
+query("g_track_one")(lambda s, d: track_store.track_of(*_stored_events(s, d), start=TRACK_BOUNDS[0], end=TRACK_BOUNDS[1]))
+query("g_feed_one")(lambda s, d: track_store.feed_of(*_stored_events(s, d)))
 query("g_points_query")(lambda s, d: tracks.query_points(_point_store(s, d), *POINT_BOUNDS, city=lines.GPS_CITY))
 query("g_points_brief")(
     lambda s, d: tracks.query_points(_point_store(s, d), *POINT_BOUNDS, city=lines.GPS_CITY, brief=True)
@@ -660,6 +710,15 @@ query("g_points_brief")(
 query("g_overview")(lambda s, d: tracks.overview(tracks.hour_counts(_gps(s, d)), sample.day_counts(s, d)))
 query("g_hour_board")(lambda s, d: tracks.hour_board(tracks.hour_counts(_gps(s, d)), BOARD_DAY))
 
+
+def _city_hours(spark, sf_dir):
+    told = lines.with_city(sample.city_gps_lines(spark, sf_dir), sample.TOPIC_CITIES)
+    return tracks.hour_counts(lines.parse_gps_events(told))
+
+
+query("g_hour_city")(_city_hours)
+query("g_hour_board_city")(lambda s, d: tracks.hour_board(_city_hours(s, d), BOARD_DAY, BOARD_CITY))
+
 # --- published views and job metrics ---------------------------------------------------------
 
 
@@ -694,4 +753,15 @@ query("m_task_totals")(lambda s, d: monitor.task_totals(monitor.task_metrics(sam
 query("m_last_task")(lambda s, d: monitor.last_task(monitor.task_metrics(sample.task_end_lines(s, d))))
 query("m_batch_metrics")(lambda s, d: monitor.batch_metrics(sample.progress_lines(s, d), BATCH_INTERVAL_MS))
 query("m_health_ratios")(lambda s, d: monitor.health_board(sample.snapshots(s, d)))
+SNAPSHOT_STEP_MS = 3_600_000
+
+
+def _log_snapshots(spark, sf_dir):
+    return snapshots.snapshots(sample.job_log_lines(spark, sf_dir), SNAPSHOT_STEP_MS, interval_ms=20_000)
+
+
+query("m_snapshots")(lambda s, d: _log_snapshots(s, d).drop("app", "memUsed_MB", "remainingMem_MB"))
+query("m_health_log")(
+    lambda s, d: monitor.health_board(_log_snapshots(s, d)).select("ts", "error_rate", "operating_rate", "waiting_rate", "completed_batch_share")
+)
 query("m_health_all")(lambda s, d: monitor.health_ratios(sample.snapshots(s, d)))

@@ -231,6 +231,13 @@ ORACLE["part_presplit"] = _with(
 )
 ORACLE["part_placed"] = _with(f"SELECT {_REGION} AS region, count(*) AS num_rows FROM trips GROUP BY 1", "trips")
 
+_NUMBER = f"({_hash(_BUSINESS)} & 2147483647)"
+ORACLE["part_tasks"] = _with(
+    f"""SELECT ({_NUMBER} % 8 * 4 + {_NUMBER} // 8 % 4)::INTEGER AS task, ({_NUMBER} % 8)::INTEGER AS region, count(*) AS num_rows
+        FROM trips GROUP BY 1, 2""",
+    "trips",
+)
+
 _P, _R, _A, _D = catalog.TRIP_PERIOD, catalog.RIDER_PERIOD, catalog.ACTIVE_PERIOD, catalog.DRIVER_PERIOD
 
 ORACLE["fn_date_bucket"] = _with(
@@ -597,6 +604,7 @@ ORACLE["v_station"] = _with(f"SELECT {_STATION_COLUMNS}, rn, trip_count FROM ({_
 ORACLE["v_min_trips"] = _with(f"SELECT {_STATION_COLUMNS}, rn, trip_count FROM ({_stations(8, 3)})", "trips")
 ORACLE["v_district_join"] = _with(f"SELECT {_STATION_COLUMNS}, district_name FROM ({_PLACED})", "trips")
 ORACLE["v_broadcast_districts"] = ORACLE["v_district_join"]
+ORACLE["v_district_tiles"] = ORACLE["v_district_join"]
 ORACLE["sink_stations"] = _with(f"SELECT {_STATION_COLUMNS}, trip_count, district_name FROM ({_PLACED})", "trips")
 ORACLE["v_station_lookup"] = _with(
     f"""SELECT city_id, district_name, round(starting_lng, 6) AS starting_lng, round(starting_lat, 6) AS starting_lat
@@ -617,6 +625,11 @@ ORACLE["v_polygon_parse"] = _with(f"SELECT name, position, {_AT} FROM ({_BOXES})
 ORACLE["v_geojson_districts"] = _with(
     f"SELECT name AS district_name, 0 AS part, 0 AS ring_no, position, {_AT} FROM ({_BOXES}), {_CLOSED}", "trips"
 )
+ORACLE["v_geojson_join"] = _with(
+    f"""SELECT {_STATION_COLUMNS}, name AS district_name FROM ({_stations()}) JOIN ({_BOXES})
+        ON x0 <= starting_lng AND starting_lng < x1 AND y0 <= starting_lat AND starting_lat < y1""",
+    "trips",
+)
 ORACLE["v_district_parse"] = _with(
     f"""SELECT name[1:4] AS citycode, name, concat_ws(';', concat_ws(',', x0, y0), concat_ws(',', x1, y0),
                concat_ws(',', x1, y1), concat_ws(',', x0, y1)) AS polygon FROM ({_BOXES})""",
@@ -658,16 +671,45 @@ _SPAN = """SELECT '075' AS cityCode, s.order_id AS orderId, s.ts * 1000 AS start
          ON s.order_id = e.order_id"""
 ORACLE["g_order_span"] = _with(_SPAN, "gps")
 ORACLE["g_stream"] = ORACLE["g_order_span"]
+ORACLE["g_span_stream"] = ORACLE["g_order_span"]
+ORACLE["g_live_stream"] = _with(
+    f"""SELECT '075_' || order_id AS order_key, order_id FROM (SELECT order_id, arg_max(is_end, seq) AS ended, max(ts) AS last
+        FROM gps GROUP BY 1) WHERE NOT ended AND last >= (SELECT max(ts) FROM gps) - {catalog.LIVE_HORIZON_DAYS} * 86400""",
+    "gps",
+)
 _HOURS = """SELECT strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS day,
     hour(make_timestamp(ts * 1000000))::INTEGER AS hour, count(*) AS order_count
     FROM (SELECT * FROM gps WHERE NOT is_end QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq) = 1)
     GROUP BY 1, 2"""
 ORACLE["g_hour_count"] = _with(_HOURS, "gps")
+ORACLE["g_hour_stream"] = ORACLE["g_hour_count"]
 ORACLE["g_hour_board"] = _with(
     f"""SELECT '075_' || day || '_' || hour AS field, order_count FROM ({_HOURS})
         WHERE day = '{catalog.BOARD_DAY}'""",
     "gps",
 )
+_CITY = "CASE WHEN split_part(order_id, '_', 1)::BIGINT % 2 = 0 THEN '075' ELSE '0898' END"
+_CITY_HOURS = f"""SELECT {_CITY} AS city_code, strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS day,
+    hour(make_timestamp(ts * 1000000))::INTEGER AS hour, count(*) AS order_count
+    FROM (SELECT * FROM gps WHERE NOT is_end QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY seq) = 1)
+    GROUP BY 1, 2, 3"""
+ORACLE["g_hour_city"] = _with(_CITY_HOURS, "gps")
+ORACLE["g_hour_board_city"] = _with(
+    f"""SELECT city_code || '_' || day || '_' || hour AS field, order_count FROM ({_CITY_HOURS})
+        WHERE day = '{catalog.BOARD_DAY}' AND city_code = '{catalog.BOARD_CITY}'""",
+    "gps",
+)
+_MOST = "(SELECT order_id FROM gps GROUP BY 1 ORDER BY count(*) DESC, order_id LIMIT 1)"
+ORACLE["g_track_one"] = _with(
+    f"""SELECT order_id, ts, lng, lat FROM gps WHERE NOT is_end AND order_id = {_MOST}
+        AND ts BETWEEN {catalog.TRACK_BOUNDS[0]} AND {catalog.TRACK_BOUNDS[1]}""",
+    "gps",
+)
+ORACLE["g_feed_one"] = _with(
+    f"""SELECT order_id, seq, CASE WHEN is_end THEN 'end' ELSE lng || ',' || lat END AS message FROM gps
+        WHERE order_id = {_MOST}""",
+    "gps",
+)
 ORACLE["g_track_push"] = _with(
     "SELECT order_id, seq, CASE WHEN is_end THEN 'end' ELSE lng || ',' || lat END AS message FROM gps", "gps"
 )
@@ -780,3 +822,37 @@ _HEALTH = f"""SELECT ts, {_percent('failed', *_STAGES)} AS error_rate, {_percent
           FROM events GROUP BY 1)"""
 ORACLE["m_health_all"] = _HEALTH
 ORACLE["m_health_ratios"] = f"{_HEALTH} ORDER BY ts DESC LIMIT 5"
+_STEP = catalog.SNAPSHOT_STEP_MS
+_JOB_LOG = """SELECT event_id AS n, epoch_ms(ts) AS t, epoch_ms(ts) + event_id % 7 * 1000 AS begin,
+    epoch_ms(ts) + event_id % 7 * 1000 + event_id % 50 * 60000 AS done, event_type = 'error' AS failed,
+    epoch_ms(ts) + 5400000 AS job_end, epoch_ms(ts) + event_id % 90 * 1000 AS batch_end FROM events"""
+# What happened up to each hour: every term is a count of starts less a count of ends.
+_CHANGES_OF_LOG = f"""
+    SELECT 'runningStages' AS counter, begin AS time, 1 AS delta FROM log UNION ALL SELECT 'runningStages', done, -1 FROM log
+    UNION ALL SELECT 'failedStages', done, 1 FROM log WHERE failed
+    UNION ALL SELECT 'waitingStages', t, 2 FROM log UNION ALL SELECT 'waitingStages', begin, -1 FROM log
+    UNION ALL SELECT 'waitingStages', job_end, -1 FROM log
+    UNION ALL SELECT 'runningBatches', t, 1 FROM log WHERE n % 3 = 0 UNION ALL SELECT 'runningBatches', batch_end, -1 FROM log WHERE n % 3 = 0
+    UNION ALL SELECT 'totalCompletedBatches', batch_end, 1 FROM log WHERE n % 3 = 0
+    UNION ALL SELECT 'waitingBatches', t + k * 20000, 1 FROM log, range(1, 5) r(k) WHERE n % 3 = 0 AND t + k * 20000 <= batch_end
+    UNION ALL SELECT 'waitingBatches', batch_end, -1 FROM log, range(1, 5) r(k) WHERE n % 3 = 0 AND t + k * 20000 <= batch_end
+    UNION ALL SELECT 'maxMem', t, 1024 FROM log WHERE n % 7 = 0"""
+_COUNTERS = ("failedStages", "runningStages", "waitingStages", "runningBatches", "waitingBatches", "totalCompletedBatches")
+_LOG_SNAPSHOTS = f"""SELECT make_timestamp(step * {_STEP} * 1000) AS ts,
+    {", ".join(f"sum(coalesce({c}, 0)) OVER (ORDER BY step)::BIGINT AS {c}" for c in _COUNTERS)},
+    sum(coalesce(maxMem, 0)) OVER (ORDER BY step)::DOUBLE AS maxMem_MB
+    FROM (SELECT unnest(range(first, last + 1)) AS step FROM (SELECT min(step) AS first, max(step) AS last FROM steps)) LEFT JOIN steps USING (step)"""
+_LOG_WITH = f"""WITH log AS ({_JOB_LOG}), changes AS ({_CHANGES_OF_LOG}), steps AS (
+    SELECT ceil(time / {_STEP})::BIGINT AS step,
+           {", ".join(f"sum(delta) FILTER (WHERE counter = '{c}') AS {c}" for c in (*_COUNTERS, "maxMem"))} FROM changes GROUP BY 1)"""
+ORACLE["m_snapshots"] = f"{_LOG_WITH} {_LOG_SNAPSHOTS}"
+
+
+def _share(part: str, *parts: str) -> str:
+    return f"CASE WHEN {part} = 0 THEN 0.0::DOUBLE ELSE round({part} * 100.0::DOUBLE / ({' + '.join(parts)}), 2) END"
+
+
+_STAGES, _BATCHES = _COUNTERS[:3], _COUNTERS[3:]
+ORACLE["m_health_log"] = f"""{_LOG_WITH} SELECT ts, {_share("failedStages", *_STAGES)} AS error_rate,
+    {_share("runningStages", *_STAGES)} AS operating_rate, {_share("waitingStages", *_STAGES)} AS waiting_rate,
+    {_share("totalCompletedBatches", *_BATCHES)} AS completed_batch_share FROM ({_LOG_SNAPSHOTS}) ORDER BY ts DESC LIMIT 5"""
