@@ -10,7 +10,8 @@ boilerplate stands in ``SITES`` sites or more, in as many different surroundings
 in at least half of its texts, while the lines of a copied document keep their neighbours.
 
 Only lines that occur often enough to reach the threshold are sketched; occurrences are counted by a partial
-aggregation first, so a line that a third of all documents hold is folded before it is shuffled.
+aggregation first. Where the lines meet that count, each is dealt to ``SALTS`` tasks by its text, so that a line that a
+third of all documents hold is spread.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.llm.tables import documents, stored
+from hailstat.llm.tables import join_rows, placed, stored
 
 SITES = 10
 SHARE = 0.5
 NEAR = 0.25  # far above the sketch's error of 1.6 %
 LG_K = 12
+SALTS = 16
 
 
 def _bare(line: Column) -> Column:
@@ -45,8 +47,10 @@ def _lines(docs: DataFrame) -> DataFrame:
 def boilerplate(docs: DataFrame, sites: int = SITES, share: float = SHARE) -> DataFrame:
     """``(line)``: hashes of the lines that spread over many sites; see the module."""
     lines = _lines(docs)
-    often = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("line")
-    seen = stored(lines.join(often, "line", "left_semi").distinct(), "lines")
+    often = lines.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites)
+    often = often.select("line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = lines.withColumn("salt", F.pmod("whole", F.lit(SALTS)).cast("int"))
+    seen = stored(dealt.join(often, ["line", "salt"], "left_semi").drop("salt").distinct(), "lines")
     counted = ("site", "around", "whole")
     sketched = seen.groupBy("line").agg(
         *(F.hll_sketch_estimate(F.hll_sketch_agg(c, LG_K)).alias(c) for c in counted)
@@ -67,9 +71,10 @@ def line_dedup(docs: DataFrame, site: str = "source", sites: int = SITES, share:
 
     The other lines stay as they are, in order, empty ones too. A null text stays null, with no lines; an
     empty text has one empty line. A null site is a site. Texts are taken whole; columns other than
-    ``doc_id``, ``text`` and ``site`` are ignored; no rows give no rows. A document may end up empty.
+    ``doc_id``, ``text`` and ``site`` are ignored; no rows give no rows. A document may end up empty. Rows with the
+    same doc_id or none are cleaned each for itself.
     """
-    told = _cut(documents(docs, F.col(site).cast("string").alias("site")), sites, share)
+    told = _cut(placed(docs, F.col(site).cast("string").alias("site")), sites, share)
     return told.select("doc_id", "n_lines", "n_removed", "text")
 
 
@@ -77,7 +82,7 @@ def clean_lines(docs: DataFrame, site: str = "source") -> DataFrame:
     """The rows of ``docs``, all their columns, with the cleaned text and, where there is one, its ``n_chars``."""
     taken = {"doc_id", "text"}
     others = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in taken)).alias("others")] if set(docs.columns) - taken else []
-    told = _cut(documents(docs, F.col(site).cast("string").alias("site"), *others), SITES, SHARE)
+    told = _cut(placed(docs, F.col(site).cast("string").alias("site"), *others), SITES, SHARE)
     lengths = {"n_chars": F.length("text").cast("long")}
     return told.select(*(
         lengths.get(c, F.col(c) if c in taken else F.col(f"others.`{c}`")).alias(c) for c in docs.columns
@@ -87,14 +92,15 @@ def clean_lines(docs: DataFrame, site: str = "source") -> DataFrame:
 def _cut(docs: DataFrame, sites: int, share: float) -> DataFrame:
     """``docs`` with the cleaned text, ``n_lines`` and ``n_removed``."""
     found = stored(boilerplate(docs, sites, share), "boilerplate")
-    cut = docs.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("i", "body"))
-    hashed = cut.select("doc_id", "i", F.xxhash64(_bare(F.col("body"))).alias("line")).where("i IS NOT NULL")
+    cut = docs.select("doc_id", "place", F.posexplode_outer(F.split("text", "\n")).alias("i", "body"))
+    hashed = cut.select("doc_id", "place", "i", F.xxhash64(_bare(F.col("body"))).alias("line")).where("i IS NOT NULL")
     # Only the places of boilerplate lines are shuffled by document, not the lines.
-    gone = hashed.join(found, "line").groupBy("doc_id").agg(F.collect_set("i").alias("gone"))
-    joined = docs.join(gone, "doc_id", "left").withColumns(
+    gone = hashed.join(found, "line").groupBy("doc_id", "place").agg(F.collect_set("i").alias("gone"))
+    joined = join_rows(docs, gone, "left").withColumns(
         {"lines": F.split("text", "\n"), "gone": F.coalesce("gone", F.array().cast("array<int>"))}
     )
-    kept = F.filter("lines", lambda x, i: ~F.array_contains("gone", i))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.transform(left, lambda i: F.get("lines", i))
     return joined.withColumns({
         "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long"),
         "n_removed": F.size("gone").cast("long"),
