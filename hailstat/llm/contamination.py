@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hailstat.llm import words as W
-from hailstat.llm.tables import documents, stored
+from hailstat.llm.tables import join_rows, placed, stored
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
-HITS = "doc_id long, n_words long, hits binary, items array<string>, longest long, longest_start long, longest_item string"
+HITS = "doc_id long, place long, n_words long, hits binary, items array<string>, longest long, longest_start long, longest_item string"
 
 
 @dataclass
@@ -112,7 +113,7 @@ def _search(bench: Benchmark):
                     k = int(np.argmax(reach[mine]))
                     best[r] = max(best[r], (int(reach[mine][k]), int(at[k]), bench.ids[bench.item[suffixes[mine][k]]]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(words.counts, pa.int64()),
+                [part.column("doc_id"), part.column("place"), pa.array(words.counts, pa.int64()),
                  pa.array([np.unique(np.concatenate(m), axis=0).astype("<i8").tobytes() if m else b"" for m in marks], pa.binary()),
                  pa.array([sorted(i) for i in items], pa.list_(pa.string())),
                  pa.array([b[0] for b in best], pa.int64()), pa.array([b[1] if b[0] else None for b in best], pa.int64()),
@@ -138,15 +139,15 @@ def _digest(batches):
         lists = batch.column("items").to_pylist()
         rest = ["longest", "longest_start", "longest_item"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_words"), pa.array(hit, pa.int64()), pa.array([len(i) for i in lists], pa.int64()),
+            [batch.column("doc_id"), batch.column("place"), batch.column("n_words"), pa.array(hit, pa.int64()), pa.array([len(i) for i in lists], pa.int64()),
              pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in lists]), pa.array([h > 0 for h in hit]),
              *(batch.column(c) for c in rest)],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *rest],
+            ["doc_id", "place", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *rest],
         )
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
-    """The items in blocks of at most ``BLOCK_WORDS`` words (a longer item is alone), each on the driver in turn."""
+    """The items in blocks of at most ``BLOCK_WORDS`` words (a longer item is alone), read one after another."""
     block, total = [], 0
     for row in items.select(F.col("item_id").cast("string"), "text").where("text is not null").toLocalIterator():
         size = len(row[1]) // 2 + 1
@@ -158,21 +159,41 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
     yield block
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document its words, the places and items of all windows that stand in it, and the longest match."""
-    parts = [documents(docs).mapInArrow(_search(index(block)), HITS) for block in _blocks(benchmark)]
-    if len(parts) == 1:
-        return parts[0]
-    found = stored(parts[0], "hits")
-    for part in parts[1:]:
-        found = stored(found.unionByName(part), "hits")
+def _hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, bool]:
+    """What ``benchmark_hits`` tells, and whether rows that agree in doc_id and text have been folded to one."""
+    texts, blocks = placed(docs), _blocks(benchmark)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return texts.mapInArrow(_search(index(first)), HITS), False
+    found = None
+    for block in chain((first, second), blocks):
+        part = stored(texts.mapInArrow(_search(index(block)), HITS), "hits")
+        found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("longest", "longest_start", "longest_item"))
-    return (
-        found.groupBy("doc_id")
-        .agg(F.max("n_words").alias("n_words"), F.concat_ws("", F.collect_list(F.hex("hits"))).alias("hits"),
+    folded = (
+        found.groupBy("doc_id", "place")
+        .agg(F.max("n_words").alias("n_words"), F.concat_ws("", F.collect_set(F.hex("hits"))).alias("hits"),
              F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), best.alias("best"))
-        .select("doc_id", "n_words", F.unhex("hits").alias("hits"), "items", "best.*")
+        .select("doc_id", "place", "n_words", F.unhex("hits").alias("hits"), "items", "best.*")
     )
+    return folded, True
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Per document its words, the places and items of all windows that stand in it, and the longest match.
+
+    ``place`` is a hash of the text. With several blocks the driver holds two of them at a time, and rows that agree
+    in doc_id and text are one row here.
+    """
+    return _hits(docs, benchmark)[0]
+
+
+def _told(hits: DataFrame) -> DataFrame:
+    schema = (
+        "doc_id long, place long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+        "longest long, longest_start long, longest_item string"
+    )
+    return hits.mapInArrow(_digest, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -181,16 +202,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of ASCII digits, lower-cased letters and all beyond ASCII. A window is ten consecutive
     item words, or a whole shorter item; a document word is hit if it lies in a place where a window
     stands. Null and empty texts have no words; items without words match nothing; an empty benchmark
-    hits nothing; items with equal texts all count. Texts are taken whole, other columns are ignored.
+    hits nothing; items with equal texts all count. Texts are taken whole, other columns are ignored. Rows with the
+    same doc_id or none are told each, whether the benchmark fills one block or many.
     """
-    schema = (
-        "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-        "longest long, longest_start long, longest_item string"
-    )
-    return benchmark_hits(docs, benchmark).mapInArrow(_digest, schema)
+    hits, folded = _hits(docs, benchmark)
+    told = _told(hits)
+    if folded:
+        told = join_rows(placed(docs).select("doc_id", "place"), told)
+    return told.drop("place")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all their columns, in which no benchmark window stands."""
-    dirty = contamination(docs, benchmark).where("contaminated").select("doc_id")
-    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+    """The documents, all their columns, in which no benchmark window stands; rows of the same or no doc_id each."""
+    dirty = _told(benchmark_hits(docs, benchmark)).where("contaminated").select("doc_id", "place").distinct()
+    rows = placed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).drop("text")
+    return join_rows(rows, dirty, "left_anti").select("row.*")
