@@ -193,11 +193,12 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, ranks: str | N
     ``shares`` are target token weights per source; a source without one weighs its own share of all
     tokens (so by default every window has the proportions of the corpus and all queues end together).
     A source whose queue is empty leaves its room to the others. Null and empty texts are the id 0 alone;
-    a null source is a source; no rows give no pieces; doc_id must be unique and not null; equal texts are packed each.
+    a null source is a source; no rows give no pieces. Rows stand for themselves: equal texts, and rows with the same
+    doc_id or none, are packed each, under a number of their own.
     """
-    tokens = stored(encoded(docs, ranks, full), "tokens")
-    sizes = tokens.select("doc_id", "source", "doc_tokens")
-    queues = running(sizes, "doc_tokens", ["source", "doc_id"], ["source"])
+    tokens = stored(encoded(docs, ranks, full).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    sizes = tokens.select("row", "doc_id", "source", "doc_tokens")
+    queues = running(sizes, "doc_tokens", ["source", "doc_id", "row"], ["source"])
     totals = sizes.groupBy("source").agg(F.sum("doc_tokens").alias("source_tokens"))
     whole = sizes.agg(F.sum("doc_tokens")).first()[0] or 1
     weight = F.col("source_tokens") / F.lit(whole)
@@ -205,24 +206,24 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, ranks: str | N
         weight = F.when(F.col("source") == name, F.lit(float(share))).otherwise(weight)
     quanta = totals.select(F.col("source").alias("queue"), (weight * LENGTH * WINDOW_SEQUENCES).alias("quantum"))
     chunks = queues.join(quanta, queues["source"].eqNullSafe(quanta["queue"])).select(
-        "doc_id", "source", "before", "quantum",
+        "row", "doc_id", "source", "before", "quantum",
         F.explode(F.expr(f"transform(sequence(0, (doc_tokens - 1) div {LENGTH}), i -> "
                          f"named_struct('start', i * {LENGTH}, 'length', least({LENGTH}, doc_tokens - i * {LENGTH})))")).alias("chunk"),
     )
     rounds = chunks.select(
         F.ceil((F.col("before") + F.col("chunk.start") + F.col("chunk.length")) / F.col("quantum")).alias("round"),
-        "source", "doc_id", F.col("chunk.start").alias("start"), F.col("chunk.length").alias("length"),
+        "source", "doc_id", "row", F.col("chunk.start").alias("start"), F.col("chunk.length").alias("length"),
     )
-    ordered = running(rounds, "length", ["round", "source", "doc_id", "start"], [])
+    ordered = running(rounds, "length", ["round", "source", "doc_id", "row", "start"], [])
     cut = f"least({LENGTH} - before % {LENGTH}, length)"
     pieces = ordered.selectExpr(
-        "doc_id",
+        "row",
         f"""inline(filter(array(
             struct(start, {cut} AS length, before div {LENGTH} AS sequence_id, before % {LENGTH} AS offset),
             struct(start + {cut} AS start, length - {cut} AS length, before div {LENGTH} + 1 AS sequence_id, 0L AS offset)
         ), p -> p.length > 0))""",
     )
     piece = F.struct(*(F.col(c).cast("long").alias(c) for c in ("start", "length", "sequence_id", "offset")))
-    lists = pieces.groupBy("doc_id").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    lists = pieces.groupBy("row").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
-    return tokens.join(lists, "doc_id").select("doc_id", "source", "doc_tokens", "width", "ids", "pieces").mapInArrow(_checks, schema)
+    return tokens.join(lists, "row").select("doc_id", "source", "doc_tokens", "width", "ids", "pieces").mapInArrow(_checks, schema)
