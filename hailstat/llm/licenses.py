@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.llm.tables import documents, stored
+from hailstat.llm.tables import documents, running_sums, stored
 
 CONTAINMENT = 0.9
 SPAN = 2  # leaves room for words that stand at the margin of wrapped lines
@@ -119,8 +119,8 @@ def block_matches(docs: DataFrame, templates: DataFrame, containment: float = CO
     )
 
 
-def phrase_starts(text: Column, phrase: str) -> Column:
-    """The word numbers at which the words of a phrase stand consecutively, in any ASCII case.
+def phrase_steps(text: Column, phrase: str) -> Column:
+    """By how many words each place of a phrase, in any ASCII case, is behind the one before it.
 
     The text is cut where the phrase begins, which is always before a word, so the words of all parts
     before a cut are the words before that place. A phrase may overlap itself.
@@ -128,9 +128,7 @@ def phrase_starts(text: Column, phrase: str) -> Column:
     letter = WORD[:-1]
     there = f"(?i)(?<!{letter})(?={phrase.replace(' ', BETWEEN)}(?!{letter}))"
     parts = F.split(F.concat(F.lit(" "), text), there)  # the blank: no cut before the first character
-    counts = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.regexp_count(p, F.lit(WORD)).cast("long"))
-    none = F.array().cast("array<bigint>")
-    return F.aggregate(counts, none, lambda out, n: F.concat(out, F.array(n + F.coalesce(F.try_element_at(out, F.lit(-1)), F.lit(0)))))
+    return F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.regexp_count(p, F.lit(WORD)).cast("long"))
 
 
 def phrase_places(docs: DataFrame, phrases: dict[str, str] | None = None) -> DataFrame:
@@ -141,8 +139,9 @@ def phrase_places(docs: DataFrame, phrases: dict[str, str] | None = None) -> Dat
     phrases = PHRASES if phrases is None else phrases
     pattern = "(?i)" + "|".join(f"(?:{p.replace(' ', BETWEEN)})" for p in phrases)
     likely = documents(docs).where(F.rlike("text", F.lit(pattern)))
-    listed = [F.struct(F.lit(label).alias("label"), phrase_starts(F.col("text"), phrase).alias("starts")) for phrase, label in phrases.items()]
-    rows = likely.select("doc_id", F.explode(F.array(*listed)).alias("p")).select("doc_id", "p.label", F.explode("p.starts").alias("at"))
+    listed = [F.struct(F.lit(label).alias("label"), phrase_steps(F.col("text"), phrase).alias("steps")) for phrase, label in phrases.items()]
+    stepped = likely.select("doc_id", F.inline(F.array(*listed)))
+    rows = stepped.select("doc_id", "label", F.explode(running_sums("steps")).alias("at"))
     return rows.groupBy("doc_id").agg(
         F.count("*").alias("n_base"), F.min("at").alias("first_word"), F.max("at").alias("last_word"), F.collect_set("label").alias("base")
     )
