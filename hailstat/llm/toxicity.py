@@ -35,6 +35,7 @@ BEGINNINGS = range(3, 9)
 FUZZY_LENGTH = 4
 REACH = 5
 KNOWN = 300_000
+MOST = 10.0  # of a sum of strengths; a logistic score hardly changes beyond it
 
 PRIOR = (-3.0, 1.0, 0.3, 0.8)  # of the intercept and of used, quoted and misspelled strength
 
@@ -135,7 +136,7 @@ class Matcher:
         return any((n, word[:k]) in self.heads or (n, word[-k:]) in self.tails for k in self.halves)
 
     def strengths(self, text: str) -> tuple[float, float, float]:
-        """Sums over distinct terms that are used, quoted and misspelled."""
+        """Sums over distinct terms that are used, quoted and misspelled, each up to ``MOST``: further terms say no more."""
         lower = text.lower()
         if not any(self.term(w) for w in set(WORD.findall(lower))):
             return 0.0, 0.0, 0.0
@@ -148,7 +149,7 @@ class Matcher:
             term, strength, misspelled = found
             kind = 1 if self._quoted(lower, places, i) else 2 if misspelled else 0
             sums[term, kind] = strength
-        return tuple(min(10.0, sum(s for (_, k), s in sums.items() if k == kind)) for kind in range(3))
+        return tuple(min(MOST, sum(s for (_, k), s in sums.items() if k == kind)) for kind in range(3))
 
     @staticmethod
     def _quoted(text: str, places: list, i: int) -> bool:
