@@ -107,14 +107,14 @@ def test_gps_lines(spark):
     assert {r["seq"] for r in lines.rejected_gps(log).collect()} == {1, 2, 6, 7}
 
 
-def order_line(n=24, first="17595848583981"):
+def order_line(n=24, first="4200000000017"):
     return "\t".join([first] + [str(i) for i in range(1, n)])
 
 
 def test_order_lines(spark):
     log = line_rows(spark, [order_line(), order_line(23), order_line(first="dwv_order_make_haikou.order_id")])
     parsed = lines.parse_order_lines(log).collect()
-    assert [(r["order_id"], r["starting_lng"], r["day"]) for r in parsed] == [("17595848583981", "19", "23")]
+    assert [(r["order_id"], r["starting_lng"], r["day"]) for r in parsed] == [("4200000000017", "19", "23")]
     assert lines.read_station_input(lines.parse_order_lines(log)).dtypes == [
         ("order_id", "string"), ("city_id", "string"), ("starting_lng", "double"), ("starting_lat", "double"),
     ]
