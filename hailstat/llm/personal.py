@@ -18,14 +18,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hailstat.llm.tables import documents, stored
+from hailstat.llm.tables import join_rows, once, placed, running_sums, stored
 
 ACCEPT = 0.7
 AROUND = 40  # characters before and after a span that its labelers see
 
-# The kinds of the contract, in its order. Possessive ends take the same text without recursion.
+# The kinds of the contract, in its order. Possessive ends take the same text without recursion; an
+# e-mail begins where its run of letters does or the last one ended, so that a long run is tried once.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -54,18 +55,34 @@ NEAR_AGAINST = "example|sample|test|dummy|version|isbn|section|figure|page|place
 LABELERS = ["strict", "context", "example", "varied", "gazetteer"]
 
 
-def spans(found: Column, gaps: Column) -> Column:
-    """``array<struct<start, stop, found>>`` in code points, from the matches and the texts between them."""
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("found")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,found:string>>").alias("out"))
+def steps(found: Column, gaps: Column) -> Column:
+    """How far each match ends behind the one before it, from the matches and the texts between them."""
+    between = F.slice(gaps, F.lit(1), F.size(found))
+    return F.zip_with(between, found, lambda g, m: (F.length(g) + F.length(m)).cast("bigint"))
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
-        stop = start + F.length(step["found"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), step["found"].alias("found"))
-        return F.struct(stop.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(steps, empty, add, lambda s: s["out"])
+def pieces(found: Column, gaps: Column) -> Column:
+    """The text as a list: what is before each match, the match, and in the end the rest."""
+    return F.flatten(F.zip_with(gaps, found, lambda g, m: F.array(g, F.coalesce(m, F.lit("")))))
+
+
+def spans() -> Column:
+    """``array<struct<start, stop, found, before, after>>`` in code points, of the columns ``found, stops, pieces``.
+
+    What is around a match is taken from the pieces next to it. A match has two characters or more, so
+    ``AROUND`` pieces reach as many characters; no match looks at the whole text.
+    """
+    def one(i: Column) -> Column:
+        stop, found = F.get("stops", i), F.get("found", i)
+        first = F.greatest(2 * i - AROUND, F.lit(0))
+        before = F.array_join(F.slice("pieces", first + 1, 2 * i + 1 - first), "")
+        after = F.array_join(F.slice("pieces", 2 * i + 3, F.lit(AROUND + 1)), "")
+        return F.struct(
+            (stop - F.length(found)).cast("int").alias("start"), stop.cast("int").alias("stop"), found.alias("found"),
+            F.lower(F.right(before, F.lit(AROUND))).alias("before"), F.lower(F.left(after, F.lit(AROUND))).alias("after"),
+        )
+
+    return F.when(F.size("found") > 0, F.transform(F.sequence(F.lit(0), F.size("found") - 1), one))
 
 
 def luhn(text: Column) -> Column:
@@ -93,24 +110,24 @@ def strict(kind: Column, found: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id, kind, start, stop, found, base, before, after`` of all candidates; base ones passed their rule."""
-    texts = documents(docs)
+    """``doc_id, place, kind, start, stop, found, base, before, after`` of all candidates; base ones passed their rule."""
+    texts = placed(docs)
     kinds = F.array_compact(F.array(*(F.when(F.rlike("text", F.lit(NEEDS[k])), F.lit(k)) for k in ORDER)))
-    wanted = texts.select("doc_id", "text", F.explode(kinds).alias("kind"))
+    wanted = texts.select("doc_id", "place", "text", F.explode(kinds).alias("kind"))
     found, gaps = F.lit(None).cast("array<string>"), F.lit(None).cast("array<string>")
     for kind, pattern in {**BASE, **LOOSE}.items():
         here = F.col("kind") == kind
         found = F.when(here, F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(1))).otherwise(found)
         gaps = F.when(here, F.split("text", pattern, -1)).otherwise(gaps)
     # A generator, so that each search is made once and not once for each use of its result.
-    searched = wanted.select("doc_id", "text", "kind", F.inline(F.array(F.struct(found.alias("found"), gaps.alias("gaps")))))
-    rows = searched.select("doc_id", "text", "kind", F.explode(spans(F.col("found"), F.col("gaps"))).alias("s"))
-    start, stop = F.col("s.start"), F.col("s.stop")
+    searched = wanted.select("doc_id", "place", "text", "kind", F.inline(F.array(F.struct(found.alias("found"), gaps.alias("gaps")))))
+    both = F.struct(steps(F.col("found"), F.col("gaps")).alias("steps"), pieces(F.col("found"), F.col("gaps")).alias("pieces"))
+    cut = searched.select("doc_id", "place", "kind", "found", F.inline(F.array(both)))
+    summed = cut.select("doc_id", "place", "kind", "found", "pieces", once("stops", running_sums("steps")))
+    rows = summed.select("doc_id", "place", "kind", F.inline(spans()))
     return rows.select(
-        "doc_id", "kind", "s.start", "s.stop", "s.found", strict(F.col("kind"), F.col("s.found")).alias("base"),
-        F.lower(F.substring(F.col("text"), F.greatest(start - AROUND + 1, F.lit(1)), F.least(F.lit(AROUND), start))).alias("before"),
-        F.lower(F.substring(F.col("text"), stop + 1, F.lit(AROUND))).alias("after"),
-    )
+        "doc_id", "place", "kind", "start", "stop", "found", strict(F.col("kind"), F.col("found")).alias("base"), "before", "after"
+    )
 
 
 def votes(spotted: DataFrame) -> DataFrame:
@@ -164,7 +181,7 @@ def classifier(patterns: list[tuple[tuple[int, ...], int]]) -> list[float]:
 
 
 def personal_spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
-    """``doc_id, kind, start, stop, base, score`` of all spans that stay: exact ones, and accepted loose ones."""
+    """``doc_id, place, kind, start, stop, base, score`` of all spans that stay: exact ones, and accepted loose ones."""
     voted = votes(stored(candidates(docs), "candidates"))
     patterns = [(tuple(r)[:-1], r[-1]) for r in voted.groupBy(*LABELERS).agg(F.count("*").alias("n")).collect()]
     weights = classifier(sorted(patterns))
@@ -172,7 +189,7 @@ def personal_spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     for j, name in enumerate(LABELERS):
         z = z + F.when(F.col(name) == 1, weights[1 + j]).when(F.col(name) == -1, weights[1 + len(LABELERS) + j]).otherwise(0.0)
     return voted.withColumn("score", 1 / (1 + F.exp(-z))).where(F.col("base") | ((F.col("score") >= accept) & F.col("kind").isin(*LOOSE))).select(
-        "doc_id", "kind", "start", "stop", "base", "score"
+        "doc_id", "place", "kind", "start", "stop", "base", "score"
     )
 
 
@@ -181,16 +198,17 @@ def personal_data(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
     Positions are code points, the end is not part of the span. Null and empty texts have no spans. An
     added span that overlaps an exact one is left out, so is one that overlaps an earlier added one of its
-    kind by construction. Texts are taken whole, other columns ignored; doc_id must be unique.
+    kind by construction. Texts are taken whole, other columns ignored. Rows with the same doc_id or none are told
+    apart by their text, so that each has its own spans.
     """
     rank = F.array_position(F.array(*map(F.lit, ORDER)), F.col("kind")).cast("int")
     one = F.struct("start", rank.alias("rank"), "stop", "kind", "base")
-    lists = personal_spans(docs, accept).groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    lists = personal_spans(docs, accept).groupBy("doc_id", "place").agg(F.array_sort(F.collect_set(one)).alias("all"))
     exact = F.filter("all", lambda s: s["base"])
     clear = F.filter("all", lambda s: s["base"] | ~F.exists("exact", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
     shown = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
-    told = lists.withColumn("exact", exact).select("doc_id", "exact", clear.alias("clear"))
-    joined = documents(docs).select("doc_id").join(told, "doc_id", "left")
+    told = lists.withColumn("exact", exact).select("doc_id", "place", "exact", clear.alias("clear"))
+    joined = join_rows(placed(docs).select("doc_id", "place"), told, "left")
     counts = [
         F.coalesce(F.size(F.filter("exact", _is_kind(k))), F.lit(0)).cast("long").alias(f"n_{k}") for k in BASE
     ]
