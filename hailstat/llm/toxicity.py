@@ -34,7 +34,7 @@ PRECISE = 0.6
 BEGINNINGS = range(3, 9)
 FUZZY_LENGTH = 4
 REACH = 5
-KNOWN = 300_000
+KNOWN = 100_000
 MOST = 10.0  # of a sum of strengths; a logistic score hardly changes beyond it
 
 PRIOR = (-3.0, 1.0, 0.3, 0.8)  # of the intercept and of used, quoted and misspelled strength
@@ -104,10 +104,9 @@ class Matcher:
         self.model = model
         fuzzy = [w for w in model.words if w in model.fuzzy and len(w) >= FUZZY_LENGTH]
         self.trie = Trie(fuzzy)
-        # One edit leaves the first or the last half of a term as it is, and its length but for one.
-        self.heads = {(len(w) + k, w[: len(w) // 2]) for w in fuzzy for k in (-1, 0, 1)}
-        self.tails = {(len(w) + k, w[len(w) // 2 :]) for w in fuzzy for k in (-1, 0, 1)}
-        self.halves = sorted({len(h) for _, h in self.heads | self.tails})
+        # A word at one edit from a term has, whole or without one letter, a text in common with the term.
+        self.cut = {w[:i] + w[i + 1 :] for w in fuzzy for i in range(len(w))} | set(fuzzy)
+        self.longest = max(map(len, fuzzy), default=0) + 1
         self.known: dict[str, tuple | None] = {}
 
     def term(self, word: str) -> tuple[str, float, bool] | None:
@@ -132,8 +131,9 @@ class Matcher:
         return found
 
     def _may_be_near(self, word: str) -> bool:
-        n = len(word)
-        return any((n, word[:k]) in self.heads or (n, word[-k:]) in self.tails for k in self.halves)
+        if len(word) > self.longest:
+            return False
+        return word in self.cut or any(word[:i] + word[i + 1 :] in self.cut for i in range(len(word)))
 
     def strengths(self, text: str) -> tuple[float, float, float]:
         """Sums over distinct terms that are used, quoted and misspelled, each up to ``MOST``: further terms say no more."""
