@@ -228,6 +228,7 @@ def _across(percent: int, miss: float):
                     held = []
         if held:
             yield settle(pa.concat_tables(held))
+        W.release()
 
     return across
 

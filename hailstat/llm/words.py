@@ -7,6 +7,7 @@ are addressed by offsets: row ``r`` has the words ``first[r]`` to ``first[r + 1]
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -102,6 +103,16 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Gives memory that a finished task has freed back to the system; Spark keeps its Python processes for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
