@@ -15,7 +15,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes of a batch of rows that Spark hands to Python, which both sides hold at once for every running task.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder; batches for Python are bounded for the session as they are nowhere else."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
