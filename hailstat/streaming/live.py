@@ -1,9 +1,9 @@
 """Live state of orders as a stateful stream: spans, running orders and hour counts, bounded by a horizon.
 
-The state store keeps one state per order that was heard of within the horizon (event time of its points). A
-batch folds its own events per order before they are shuffled, so that an order with very many points costs a row
-per Arrow batch, merges them with the state, and gives out the states that changed. An order that was silent for
-longer than the horizon is given out once more as closed and leaves the state store.
+The state store is that of Spark's streaming aggregation: one row per order and span of one horizon (event time of
+the points), the fold of its points. Points are folded before they are shuffled, so that an order with very many of
+them costs a row per task. A batch gives out the folds that it changed; a span leaves the store once the watermark,
+the newest point less the horizon, has passed its end. An end mark has no time, needs no state and is given out as it is.
 
 What is given out goes to folders of one generation, a folder per batch. The first batch of a generation folds the
 one before: its open orders begin the new generation, its closed ones go to a history of their own, and their hours
@@ -11,128 +11,49 @@ are added to the counts so far. So a reader of what runs now opens the folders o
 stream has run. Which batches are finished is read from the checkpoint of the stream: readers never see half of one,
 and a batch that is repeated after a failure writes the same folders again.
 
+An order is closed if its last point is older than the newest point of all by more than the horizon. The order that
+has the newest point is open, so each generation holds it. An order with end marks alone is heard of when the newest
+point of its batch is.
+
 States fold by minimum and maximum, so the order of files does not matter within the horizon. Points older than
-the horizon are late: the state store leaves them out, and the point store still has them.
+the horizon are late once their span has left the state store: they are left out, and the point store still has them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hailstat.operators import tracks
 from hailstat.sources import lines as parse
 from hailstat.streaming.jobs import STATE_SCHEMA, start
 
-# Arrival orders as texts of equal length, which compare like the numbers.
-DIGITS = 38
-POINT = ("ts", "seq", "lng", "lat")
-# The four parts of a state: the columns that order the events of an order, and whether ascending.
-PARTS = {
-    "start": (("ts", "seq"), (True, True), POINT),
-    "finish": (("ts", "seq"), (False, True), POINT),
-    "first_seen": (("seq",), (True,), ("seq", "ts")),
-    "last_seen": (("seq",), (False,), ("seq", "is_end", "lng", "lat")),
-}
-TYPES = {"ts": "long", "seq": "string", "lng": "double", "lat": "double", "is_end": "boolean"}
-FIELDS = {f"{part}_{c}": TYPES[c] for part, (_, _, columns) in PARTS.items() for c in columns}
-STATE = ", ".join(f"{name} {type_}" for name, type_ in FIELDS.items())
-OF_PART = {part: [f"{part}_{c}" for c in columns] for part, (_, _, columns) in PARTS.items()}
-
-
-def fold_events(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Events as one partial state per order and frame, with ``seen``: the time of its last point.
-
-    An end mark has no time of its own: an order with end marks alone is seen when the frame's last point is.
-    """
-    for events in frames:
-        events = events.assign(ts=events["ts"].astype("Int64"))
-        points = events[~events["is_end"].astype(bool)]
-        out = events[["order_id"]].drop_duplicates()
-        for part, (order, ascending, columns) in PARTS.items():
-            rows = events if part == "last_seen" else points
-            best = rows.sort_values(["order_id", *order], ascending=[True, *ascending]).drop_duplicates("order_id")
-            best = best[["order_id", *columns]].rename(columns=dict(zip(columns, OF_PART[part])))
-            out = out.merge(best, on="order_id", how="left")
-        seen = out["finish_ts"].fillna(events["ts"].max()) if len(points) else out["finish_ts"]
-        yield out.assign(seen=pd.to_datetime(seen.astype("Int64"), unit="s", utc=True))[["order_id", *FIELDS, "seen"]]
-
-
-def _rank(part: str, value: dict) -> tuple | None:
-    """What orders two candidates of a part, smallest first; None where there is none."""
-    order, ascending, _ = PARTS[part]
-    found = [value[f"{part}_{c}"] for c in order]
-    if any(v is None for v in found):
-        return None
-    signed = {"ts": lambda v, up: v if up else -v, "seq": lambda v, up: int(v) if up else -int(v)}
-    return tuple(signed[c](v, up) for c, v, up in zip(order, found, ascending))
-
-
-def merge_state(state: dict | None, more: dict) -> dict:
-    """The better candidate of each part."""
-    if state is None:
-        return more
-    out = {}
-    for part, names in OF_PART.items():
-        mine, other = _rank(part, state), _rank(part, more)
-        chosen = more if mine is None or (other is not None and other < mine) else state
-        out.update({n: chosen[n] for n in names})
-    return out
-
-
-def _plain(row: tuple) -> dict:
-    """A row of partial states with nulls as None."""
-    values = {n: None if pd.isna(v) else v for n, v in zip(FIELDS, row)}
-    return {n: int(v) if v is not None and FIELDS[n] == "long" else v for n, v in values.items()}
-
-
-def _step(key: tuple, frames: Iterable[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    state = dict(zip(FIELDS, held.get)) if held.exists else None
-    if held.hasTimedOut:
-        held.remove()
-        yield pd.DataFrame([(key[0], *state.values(), True)], columns=["order_id", *FIELDS, "closed"])
-        return
-    silent = held.getCurrentWatermarkMs()
-    for frame in frames:
-        for row in frame[[*FIELDS]].itertuples(index=False, name=None):
-            state = merge_state(state, _plain(row))
-        last = frame["seen"].max()
-        silent = silent if pd.isna(last) else max(silent, int(last.timestamp() * 1000))
-    held.update(tuple(state.values()))
-    if silent > 0:
-        held.setTimeoutTimestamp(silent + 1)
-    yield pd.DataFrame([(key[0], *state.values(), False)], columns=["order_id", *FIELDS, "closed"])
-
+# Behind the last arrival of an order stands when it was heard of, where only end marks tell of it.
+LIVE_SCHEMA = f"{STATE_SCHEMA[:-1]}, heard: bigint>, closed boolean"
+PARTS = ("start", "finish", "first_seen", "last_seen")
 
-def live_states(events: DataFrame, horizon: str) -> DataFrame:
-    """A stream of the states that changed, and of orders that were silent for longer than ``horizon``, as closed."""
-    digits = F.lpad(F.col("seq").cast("decimal(38,0)").cast("string"), DIGITS, "0").alias("seq")
-    partial = events.select("order_id", "ts", digits, "lng", "lat", "is_end").mapInPandas(
-        fold_events, f"order_id string, {STATE}, seen timestamp"
-    )
-    return partial.withWatermark("seen", horizon).groupBy("order_id").applyInPandasWithState(
-        _step, f"order_id string, {STATE}, closed boolean", STATE, "update", GroupStateTimeout.EventTimeTimeout
-    )
 
+def _last_seen(lng: Column, lat: Column) -> Column:
+    return F.struct("seq", "is_end", lng.alias("lng"), lat.alias("lat"), F.lit(None).cast("bigint").alias("heard"))
 
-def as_states(rows: DataFrame) -> DataFrame:
-    """Rows of ``live_states`` with the columns of ``tracks.order_state``."""
-    def part(name: str):
-        _, _, columns = PARTS[name]
-        value = {c: F.col(f"{name}_{c}") for c in columns}
-        value["seq"] = value["seq"].cast("decimal(38,0)")
-        if name == "finish":
-            value = {"ts": value["ts"], "back": -value["seq"], "lng": value["lng"], "lat": value["lat"]}
-        key = F.col(f"{name}_seq")
-        return F.when(key.isNotNull(), F.struct(*(v.alias(c) for c, v in value.items()))).alias(name)
 
-    return rows.select("order_id", *(part(name) for name in PARTS), "closed")
+def live_states(events: DataFrame, horizon: str) -> DataFrame:
+    """A stream of the states that changed, per order and span of one horizon, and of the end marks."""
+    events = events.withColumn("seq", F.col("seq").cast("decimal(38,0)"))
+    position = (F.col("lng"), F.col("lat"))
+    points = events.where(~F.col("is_end")).withColumn("seen", F.timestamp_seconds("ts")).withWatermark("seen", horizon)
+    folded = points.groupBy("order_id", F.window("seen", horizon)).agg(
+        F.min(F.struct("ts", "seq", *position)).alias("start"),
+        F.max(F.struct("ts", (-F.col("seq")).alias("back"), *position)).alias("finish"),
+        F.min(F.struct("seq", "ts")).alias("first_seen"),
+        F.max(_last_seen(*position)).alias("last_seen"),
+    )
+    nothing = F.lit(None).cast("double")
+    ends = events.where("is_end").select("order_id", _last_seen(nothing, nothing).alias("last_seen"))
+    return folded.select("order_id", *PARTS).unionByName(ends, allowMissingColumns=True)
 
 
 @dataclass(frozen=True)
@@ -150,13 +71,15 @@ class LiveOrders:
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
         generation = batch_id // self.every
-        rows = as_states(batch).persist()
+        batch = batch.persist()
         try:
+            newest = batch.agg(F.max("finish.ts")).first()[0]
+            rows = batch.withColumn("last_seen", _heard(F.lit(newest))).withColumn("closed", F.lit(False))
             if batch_id % self.every or not generation:
                 self._put(rows, f"live/generation={generation}/batch={batch_id}")
                 return
             earlier = self._rows(batch.sparkSession, f"live/generation={generation - 1}").drop("batch")
-            whole = _folded(earlier.unionByName(rows)).persist()
+            whole = self._folded(earlier.unionByName(rows)).persist()
             try:
                 closed = whole.where("closed")
                 self._put(closed, f"closed/generation={generation}")
@@ -169,15 +92,23 @@ class LiveOrders:
             finally:
                 whole.unpersist()
         finally:
-            rows.unpersist()
+            batch.unpersist()
 
     def _put(self, rows: DataFrame, folder: str) -> None:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.root}/{folder}")
 
     def _rows(self, spark: SparkSession, folder: str) -> DataFrame:
-        schema = f"{STATE_SCHEMA}, closed boolean, batch long"
+        schema = f"{LIVE_SCHEMA}, batch long"
         return spark.read.schema(schema).option("basePath", f"{self.root}/{folder}").parquet(f"{self.root}/{folder}")
 
+    def _folded(self, rows: DataFrame) -> DataFrame:
+        """One state per order of a generation; closed if the newest point is a horizon and more ahead of it."""
+        newest = F.lit(rows.agg(F.max("finish.ts")).first()[0]).cast("bigint")
+        merged = tracks.merge_states(rows).withColumn("last_seen", _heard(newest))
+        seen = F.greatest("finish.ts", "last_seen.heard")
+        silent = F.timestamp_seconds(seen) < F.timestamp_seconds(newest) - F.expr(f"INTERVAL '{self.horizon}'")
+        return merged.withColumn("closed", F.coalesce(silent, F.lit(False)))
+
     def last_batch(self, spark: SparkSession) -> int | None:
         """The last finished batch, as the stream's checkpoint has it."""
         names = spark.read.text(f"{self.checkpoint}/commits").select(F.col("_metadata.file_name").alias("name"))
@@ -189,11 +120,11 @@ class LiveOrders:
         if last is None:
             return spark.createDataFrame([], STATE_SCHEMA)
         rows = self._rows(spark, f"live/generation={last // self.every}").where(F.col("batch") <= last)
-        return _folded(rows.drop("batch")).where("not closed").drop("closed")
+        return self._folded(rows.drop("batch")).where("not closed").drop("closed")
 
     def _all_of_generation(self, spark: SparkSession, last: int) -> DataFrame:
         rows = self._rows(spark, f"live/generation={last // self.every}").where(F.col("batch") <= last)
-        return _folded(rows.drop("batch")).drop("closed")
+        return self._folded(rows.drop("batch")).drop("closed")
 
     def live(self, spark: SparkSession) -> DataFrame:
         """Running orders: heard of within the horizon, and their last arrival is a point."""
@@ -204,11 +135,11 @@ class LiveOrders:
         last = self.last_batch(spark)
         if last is None:
             return tracks.span_of(spark.createDataFrame([], STATE_SCHEMA))
-        states = self._all_of_generation(spark, last)
+        states = self._all_of_generation(spark, last).select("order_id", *PARTS)
         generation = last // self.every
         if generation:
-            closed = spark.read.schema(f"{STATE_SCHEMA}, generation long").parquet(f"{self.root}/closed")
-            states = tracks.merge_states(states.unionByName(closed.where(F.col("generation") <= generation).drop("generation")))
+            closed = spark.read.schema(f"{LIVE_SCHEMA}, generation long").parquet(f"{self.root}/closed")
+            states = tracks.merge_states(states.unionByName(closed.where(F.col("generation") <= generation).select("order_id", *PARTS)))
         return tracks.span_of(states)
 
     def hours(self, spark: SparkSession) -> DataFrame:
@@ -223,16 +154,10 @@ class LiveOrders:
         return _summed(counts.unionByName(spark.read.parquet(f"{self.root}/hours/generation={generation}")))
 
 
-def _folded(rows: DataFrame) -> DataFrame:
-    """One state per order; closed if it was given out as closed after all that it was given out with as open.
-
-    A state only grows, so the rows that were given out as open with the same last arrival came before.
-    """
-    merged = rows.groupBy("order_id").agg(
-        F.min("start").alias("start"), F.max("finish").alias("finish"), F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"), F.max(F.when(F.col("closed"), F.col("last_seen.seq"))).alias("closing"),
-    )
-    return merged.withColumn("closed", F.coalesce(F.col("closing") == F.col("last_seen.seq"), F.lit(False))).drop("closing")
+def _heard(newest: Column) -> Column:
+    """The last arrival, with ``newest`` as the time it was heard of if it is an end mark that has none yet."""
+    last = F.col("last_seen")
+    return F.when(last["is_end"], last.withField("heard", F.coalesce(last["heard"], newest))).otherwise(last)
 
 
 def _summed(counts: DataFrame) -> DataFrame:

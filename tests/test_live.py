@@ -111,3 +111,35 @@ def test_arrival_orders_beyond_a_long(spark, tmp_path):
     stream = live.LiveOrders(str(tmp_path / "out"), str(tmp_path / "check"))
     stream.start(topics.read_files(spark, source, "seq decimal(38,0), value string"), once=True).awaitTermination()
     assert [(r["getOnLng"], r["getOfLng"]) for r in stream.spans(spark).collect()] == [(110.2, 110.2)]
+
+
+def test_states_are_folded_by_spark_and_not_order_by_order_in_python(spark, tmp_path):
+    source = str(tmp_path / "in")
+    deliver(spark, random_lines(9), source)
+    events = lines.parse_gps_events(topics.read_files(spark, source, LINES))
+    plan = live.live_states(events, "2 hours")._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "PYTHON" not in plan.upper()
+
+
+def test_an_end_mark_that_comes_first_holds_until_the_horizon(spark, tmp_path):
+    source = str(tmp_path / "in")
+    stream = live.LiveOrders(str(tmp_path / "out"), str(tmp_path / "check"), "1 hour", every=2)
+    chunks = [
+        [(1, "d,new,1700000000,110.1,20.1"), (9, "end,early"), (10, "end,only")],
+        [(11, "d,new,1700000100,110.2,20.2")],
+        [(12, "d,new,1700000200,110.3,20.3"), (8, "d,early,1700000150,110.4,20.4")],
+        [(13, "d,new,1700009000,110.3,20.3")],
+        [(14, "d,new,1700009100,110.3,20.3")],
+    ]
+    told = []
+    for n, chunk in enumerate(chunks):
+        deliver(spark, chunk, source)
+        run(spark, source, stream)
+        told += chunk
+        if n < 3:
+            assert {r["order_id"] for r in stream.states(spark).collect()} >= {"early", "only"}
+        assert {r["order_id"] for r in stream.live(spark).collect()} == {"new"}
+    gps = lines.parse_gps_events(spark.createDataFrame(told, LINES))
+    assert as_set(stream.spans(spark)) == as_set(tracks.order_span(gps))
+    assert as_set(stream.hours(spark)) == as_set(tracks.hour_counts(gps))
+    assert {r["order_id"] for r in stream.states(spark).collect()} == {"new"}
