@@ -2,7 +2,7 @@
 
 A sweep line over what starts and ends: every event of the log becomes a change of a counter at a time, and a
 snapshot is the sum of all changes up to its time. Changes are added up per step of the grid first, so that only
-one row per step and application is left to be summed in order.
+one row per step and application is left to be summed in order. The lines of the log are parsed in one pass.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hailstat.session import shared_folder
+
 # The events that are read and the parts that are kept.
 KINDS = (
     "SparkListenerJobStart", "SparkListenerJobEnd", "SparkListenerStageSubmitted", "SparkListenerStageCompleted",
@@ -38,6 +40,13 @@ def log_events(lines: DataFrame) -> DataFrame:
     return lines.where(wanted).select(app.alias("app"), F.from_json("value", EVENT).alias("e")).select("app", "e.*")
 
 
+def stored_events(lines: DataFrame) -> DataFrame:
+    """The same, written once as columns: a log is far longer as text, and is read once for all counters."""
+    events, folder = log_events(lines), shared_folder(lines.sparkSession, "log-events")
+    events.write.option("compression", "zstd").parquet(folder)
+    return lines.sparkSession.read.schema(events.schema).parquet(folder)
+
+
 def _is(kind: str) -> Column:
     return F.col("Event").endswith(kind)
 
@@ -103,7 +112,7 @@ def snapshots(lines: DataFrame, step_ms: int = STEP_MS, interval_ms: int = 1000)
     A snapshot counts what happened up to its time, the end of its step; the first is that of the first event, the
     last that of the last one. The log does not tell how much memory is used: these columns are null.
     """
-    events = log_events(lines)
+    events = stored_events(lines)
     changes = stage_changes(events).unionByName(batch_changes(events, interval_ms)).unionByName(memory_changes(events))
     step = F.ceil(F.col("time") / step_ms).cast("bigint")
     counted = changes.groupBy("app", step.alias("step")).agg(

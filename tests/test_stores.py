@@ -208,3 +208,9 @@ def test_snapshots_equal_a_plain_loop(spark):
 
 def test_snapshots_of_an_empty_log(spark):
     assert snapshots.snapshots(spark.createDataFrame([("nothing",)], "value string")).collect() == []
+
+
+def test_a_log_is_parsed_once_for_all_counters(spark):
+    found = snapshots.snapshots(spark.createDataFrame([(line,) for line in log_lines(6)[0]], "value string"))
+    assert "from_json" not in plan_of(found) and "Scan ExistingRDD" not in plan_of(found)
+    assert found.where("totalCompletedBatches > 0").count()
