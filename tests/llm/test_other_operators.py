@@ -264,6 +264,84 @@ def test_pages_without_a_mark_keep_copies_and_phrases(spark):
     assert [rows[i] for i in range(len(cases))] == [t for _, _, t in cases]
 
 
+def test_longest_runs_of_blocks(spark):
+    """A run goes as far as it is shared, to the end of the last whole block; one word more or less is another block."""
+    footer = "<div>All rights reserved by the makers</div><div>Imprint</div><div>Press desk</div>"
+    cases = [
+        ("http://h/1", f"<p>first page</p>{footer}", "first page"),
+        ("http://h/2", f"<p>second page</p>{footer}<p>more</p>", "second page\n\nmore"),
+        ("http://h/3", "<p>third page</p><div>All rights reserved by the makers</div><div>Imprint of mine</div>", "third page\n\nImprint of mine"),
+        ("http://g/1", f"<p>first page</p>{footer}", "first page\n\nAll rights reserved by the makers\n\nImprint\n\nPress desk"),
+    ]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(cases)], "page_id long, url string, html string")
+    rows = {r.page_id: r.text for r in pages.main_text(df).collect()}
+    assert [rows[i] for i in range(len(cases))] == [t for _, _, t in cases]
+
+
+def plain_text(page, others):
+    """The loose blocks of a page without the runs that it shares with other texts, by comparing all places."""
+    def streams(blocks):
+        for roles in (("frame", "loose"), ("loose",)):
+            parts = [t.split() for r, t in blocks if r in roles]
+            yield [(w, k == 0, k == len(p) - 1) for p in parts for k, w in enumerate(p)]
+
+    own = list(streams(page))[1]
+    gone = [False] * len(own)
+    for other in (s for blocks in others for s in streams(blocks)):
+        for i in range(len(own)):
+            for j in range(len(other)):
+                n = aligned = 0
+                same = own[i][1] and other[j][1]
+                while i + n < len(own) and j + n < len(other) and own[i + n][0] == other[j + n][0]:
+                    same = same and own[i + n][2] == other[j + n][2]
+                    n += 1
+                    if same and own[i + n - 1][2]:
+                        aligned = n
+                n = n if n >= pages.LONG else aligned if aligned >= pages.RUN else 0
+                gone[i : i + n] = [True] * n
+    if all(gone):
+        gone = [False] * len(own)
+    out, at = [], 0
+    for words in (t.split() for r, t in page if r == "loose"):
+        out.append(" ".join(w for w, g in zip(words, gone[at:]) if not g))
+        at += len(words)
+    return "\n\n".join(t for t in out if t)
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 60])
+def test_pages_without_a_mark_against_a_plain_version(spark, partitions):
+    rng = np.random.default_rng(5)
+    kept = [[" ".join(rng.choice(list("abcdefgh"), n)) for n in rng.choice([1, 2, 3, 7, 12, 35], 12)] for _ in range(4)]
+    rows = []
+    for i in range(90):
+        host = int(rng.integers(4))
+        parts = []
+        for _ in range(int(rng.integers(1, 7))):
+            if rng.random() < 0.6:  # some of the host's blocks in their order, now and then cut at another place
+                a = int(rng.integers(12))
+                parts += [(t.replace(" ", "</p><p>", 1) if rng.random() < 0.1 else t) for t in kept[host][a : a + int(rng.integers(1, 5))]]
+            else:
+                parts.append(" ".join(rng.choice(list("abcdefgh"), int(rng.integers(1, 9)))))
+        tags = rng.choice(["p", "nav"], len(parts), p=[0.8, 0.2])
+        rows.append((i, f"http://h{host}/{i}", "".join(f"<{t}>{x}</{t}>" if "</p>" not in x else f"<p>{x}</p>" for t, x in zip(tags, parts))))
+    rows += [(90, rows[0][1], rows[0][2]), (91, None, rows[1][2])]
+    found = {i: pages.blocks(h) for i, _, h in rows}
+    text = {i: " ".join(t for r, t in b if r != "frame") for i, b in found.items()}
+    host = {i: pages.host_of(u) for i, u, _ in rows}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        told = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for i in found:
+        others = [found[j] for j in found if host[i] and host[j] == host[i] and text[j] != text[i]]
+        assert told[i] == plain_text(found[i], others), i
+    assert sum(told[i] != "\n\n".join(t for r, t in found[i] if r == "loose") for i in found) > 30
+
+
 def test_articles_inside_frames(spark):
     article = "<article><h2 id='social-costs'>A</h2><section id='related-work'><p class='notice-period'>b</p></section><p id='share'>c</p></article>"
     cases = [
