@@ -278,6 +278,14 @@ def test_longest_runs_of_blocks(spark):
     assert [rows[i] for i in range(len(cases))] == [t for _, _, t in cases]
 
 
+def test_pages_of_the_same_id_or_none(spark):
+    menu = "<div>Home and all of our news</div>"
+    cases = [(i, "http://h/", f"<p>{text}</p>{menu}" if first else f"{menu}<p>{text}</p>", text)
+             for i, first, text in ((7, True, "one two three four five six seven"), (7, False, "eight"), (None, True, "nine"), (None, False, "ten"))]
+    df = spark.createDataFrame([c[:3] for c in cases], "page_id long, url string, html string")
+    assert sorted(r.text for r in pages.main_text(df).collect()) == sorted(c[3] for c in cases)
+
+
 def plain_text(page, others):
     """The loose blocks of a page without the runs that it shares with other texts, by comparing all places."""
     def streams(blocks):
