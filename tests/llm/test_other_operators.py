@@ -350,6 +350,91 @@ def test_pages_without_a_mark_against_a_plain_version(spark, partitions):
     assert sum(told[i] != "\n\n".join(t for r, t in found[i] if r == "loose") for i in found) > 30
 
 
+def plain_repeats(page, others):
+    """The text of a page, and how many of its words are in runs of other texts, articles too, by comparing all places."""
+    def stream(blocks, roles):
+        parts = [t.split() for r, t in blocks if r in roles]
+        return [(w, k == 0, k == len(p) - 1) for p in parts for k, w in enumerate(p)]
+
+    def covered(own, streams):
+        gone = [False] * len(own)
+        for other in streams:
+            for i in range(len(own)):
+                for j in range(len(other)):
+                    n = aligned = 0
+                    same = own[i][1] and other[j][1]
+                    while i + n < len(own) and j + n < len(other) and own[i + n][0] == other[j + n][0]:
+                        same = same and own[i + n][2] == other[j + n][2]
+                        n += 1
+                        if same and own[i + n - 1][2]:
+                            aligned = n
+                    n = n if n >= pages.LONG else aligned if aligned >= pages.RUN else 0
+                    gone[i : i + n] = [True] * n
+        return gone
+
+    text, outside = (lambda b: "article" if any(r == "article" for r, _ in b) else "loose"), ("frame", "loose")
+    own = stream(page, text(page))
+    rest = [stream(b, roles) for b in others for roles in (outside, ("loose",)) if roles is outside or text(b) == "loose"]
+    repeated = covered(own, rest + [stream(b, text(b)) for b in others])
+    gone = covered(own, rest) if text(page) == "loose" else [False] * len(own)
+    gone = [False] * len(own) if all(gone) else gone
+    out, at = [], 0
+    for words in (t.split() for r, t in page if r == text(page)):
+        out.append(" ".join(w for w, g in zip(words, gone[at:]) if not g))
+        at += len(words)
+    return "\n\n".join(t for t in out if t), sum(r and not g for r, g in zip(repeated, gone))
+
+
+def test_runs_in_articles(spark):
+    passage, line = " ".join(f"w{i}" for i in range(pages.LONG)), "a line of six words here"
+    cases = [
+        ("http://a/1", f"<article><p>one {passage} one</p><p>{line}</p></article>", f"one {passage} one\n\n{line}", pages.LONG + 6),
+        ("http://a/2", f"<article><p>two {passage} two</p></article><footer>{line}</footer>", f"two {passage} two", pages.LONG),
+        ("http://a/3", f"<p>three {passage} three</p><p>more</p>", f"three {passage} three\n\nmore", pages.LONG),
+        ("http://a/4", f"<p>four</p><p>{line}</p>", "four", 0),
+        ("http://b/1", f"<article><p>one {passage} one</p><p>{line}</p></article>", f"one {passage} one\n\n{line}", 0),
+        ("http://b/1", f"<article><p>one {passage} one</p><p>{line}</p></article>", f"one {passage} one\n\n{line}", 0),
+        (None, f"<article><p>{passage}</p></article>", passage, 0),
+        (None, f"<article><p>{passage}</p><p>x</p></article>", f"{passage}\n\nx", 0),
+        ("http://a/", "<nav>menu</nav>", "", 0),
+    ]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, *_) in enumerate(cases)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in pages.main_text(df).collect()}
+    assert [(rows[i].text, rows[i].n_repeated) for i in range(len(cases))] == [c[2:] for c in cases]
+
+
+@pytest.mark.parametrize("bits", [1 << 15, pages.BITS])
+def test_pages_with_and_without_a_mark_against_a_plain_version(spark, monkeypatch, bits):
+    """Whatever the filter finds too much."""
+    monkeypatch.setattr(pages, "BITS", bits)
+    rng = np.random.default_rng(8)
+    kept = [[" ".join(rng.choice(list("abcdefgh"), n)) for n in rng.choice([1, 2, 3, 7, 12, 45], 12)] for _ in range(3)]
+    rows = []
+    for i in range(80):
+        host = int(rng.integers(3))
+        parts = []
+        for _ in range(int(rng.integers(1, 7))):
+            if rng.random() < 0.6:
+                a = int(rng.integers(12))
+                parts += kept[host][a : a + int(rng.integers(1, 5))]
+            else:
+                parts.append(" ".join(rng.choice(list("abcdefgh"), int(rng.integers(1, 60)))))
+        tags = rng.choice(["p", "nav"], len(parts), p=[0.8, 0.2])
+        cut = int(rng.integers(len(parts) + 1)) if rng.random() < 0.6 else len(parts)
+        page = [f"<{t}>{x}</{t}>" for t, x in zip(tags, parts)]
+        rows.append((i, f"http://h{host}/{i}", "".join(page[:cut]) + (f"<article>{''.join(page[cut:])}</article>" if cut < len(page) else "")))
+    rows += [(80, rows[0][1], rows[0][2]), (81, None, rows[1][2])]
+    found = {i: pages.blocks(h) for i, _, h in rows}
+    text = {i: " ".join(t for r, t in b if r != "frame") for i, b in found.items()}
+    host = {i: pages.host_of(u) for i, u, _ in rows}
+    told = {r.page_id: (r.text, r.n_repeated) for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in found:
+        others = [found[j] for j in found if host[i] and host[j] == host[i] and text[j] != text[i]]
+        assert told[i] == plain_repeats(found[i], others), i
+    marked = [any(r == "article" for r, _ in found[i]) for i in found]
+    assert 20 < sum(marked) < 60 and sum(m and told[i][1] > 0 for i, m in zip(found, marked)) > 15
+
+
 def test_articles_inside_frames(spark):
     article = "<article><h2 id='social-costs'>A</h2><section id='related-work'><p class='notice-period'>b</p></section><p id='share'>c</p></article>"
     cases = [
